@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklore.llm import bpe, chat, quality
+from tracklore.llm import bpe, chat, ngram_join, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,26 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(measured).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "n_byte_tokens", "entropy", "script"
     )
+
+
+@_query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.ngram_jaccard_join(docs, n=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op1_ngram_jaccard_join"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w),
+g AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS h FROM s),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.h = b.h AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, coalesce(least(s.doc_id, m.y), s.doc_id)::BIGINT AS component_id
+FROM s LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON s.doc_id = m.x
+"""
