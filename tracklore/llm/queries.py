@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklore.llm import bpe, chat, ngram_join, quality
+from tracklore.llm import bpe, chat, ngram_join, quality, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +74,23 @@ r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
 SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, coalesce(least(s.doc_id, m.y), s.doc_id)::BIGINT AS component_id
 FROM s LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON s.doc_id = m.x
 """
+
+
+@_query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.remove_repeats(docs, window=35).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op2_substring_dedup"] = """
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(ws) - 33)) AS i, ws FROM w WHERE len(ws) >= 35),
+h AS (SELECT doc_id, i, hash(array_to_string(ws[i:i + 34], ' ')) AS h FROM p),
+r AS (SELECT h FROM h GROUP BY h HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, i + unnest(range(0, 35)) AS i FROM h SEMI JOIN r USING (h)),
+g AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(CASE WHEN gone IS NULL THEN array_to_string(ws, ' ')
+    ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(ws) + 1), lambda j: NOT list_contains(gone, j)), lambda j: ws[j]), ' '), '') END) AS kept_sha256
+FROM w LEFT JOIN g ON w.doc_id = g.doc_id
+"""
