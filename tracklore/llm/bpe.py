@@ -25,7 +25,9 @@ from tracklore.llm._work import bounded_batches, groups_of, texts_of
 
 LONGEST = 512
 #: Entries kept by a worker: ids of words of the pattern, and of parts of texts.
-WORDS, PARTS_KEPT = 700_000, 300_000
+WORDS, PARTS_KEPT = 300_000, 150_000
+#: Words given to one recursive query.
+AT_ONCE = 25_000
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: White space with what follows it: no word of the pattern crosses from one such part to the next.
 PARTS = re.compile(rf"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -65,12 +67,9 @@ class Codec:
         # The pattern's white space is Unicode's White_Space; spelled out, as engines differ on \x1c-\x1f.
         self.pattern = regex.compile(pattern.replace(r"[^\s", rf"[^{_SPACE}").replace(r"\s", f"[{_SPACE}]").replace(r"\S", f"[^{_SPACE}]"))
         self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        pairs = [(a, b, t) for x, t in self.ranks.items() for i in range(1, len(x)) if (a := self.ranks.get(x[:i])) is not None and (b := self.ranks.get(x[i:])) is not None]
-        self.pairs = {(a, b): t for a, b, t in pairs}
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "256MB", "temp_directory": ""})
-        left, right, merged = np.array(pairs, np.int32).T
-        self._table("merges", {"l": left, "r": right, "t": merged})
-        self._table("vocab", {"id": np.fromiter(self.ranks.values(), np.int32), "piece": [x.decode("latin-1") for x in self.ranks]})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
+        self.made: set[str] = set()
+        self.pairs: dict[tuple[int, int], int] = {}
         self.parts: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -79,8 +78,28 @@ class Codec:
         self.con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT * FROM _given")
         self.con.unregister("_given")
 
+    def _pairs(self) -> Iterator[tuple[int, int, int]]:
+        """Two tokens and what they make, for every token and each place to cut it."""
+        for x, t in self.ranks.items():
+            for i in range(1, len(x)):
+                a, b = self.ranks.get(x[:i]), self.ranks.get(x[i:])
+                if a is not None and b is not None:
+                    yield a, b, t
+
+    def _need(self, name: str) -> None:
+        """Makes a table of the vocabulary on first use: encoding and decoding may run in different workers."""
+        if name in self.made:
+            return
+        self.made.add(name)
+        if name == "merges":
+            left, right, merged = np.fromiter(self._pairs(), np.dtype((np.int32, 3))).T
+            self._table(name, {"l": np.ascontiguousarray(left), "r": np.ascontiguousarray(right), "t": np.ascontiguousarray(merged)})
+        else:
+            self._table(name, {"id": np.fromiter(self.ranks.values(), np.int32), "piece": [x.decode("latin-1") for x in self.ranks]})
+
     def _contract(self, word: bytes) -> list[int]:
         """The fixpoint for a word over LONGEST bytes: leftmost pair of minimum rank, by a heap over a linked list."""
+        self.pairs = self.pairs or {(a, b): t for a, b, t in self._pairs()}
         tok = self.byte[np.frombuffer(word, np.uint8)].tolist()
         n = len(tok)
         after, before, version = [*range(1, n), -1], [-1, *range(n - 1)], [0] * n
@@ -125,8 +144,10 @@ class Codec:
                 self.words[word] = np.array(self._contract(raw), np.uint32).tobytes()
             else:
                 rest.append((word, raw))
-        for k in range(0, len(rest), 60_000):
-            some = rest[k : k + 60_000]
+        if rest:
+            self._need("merges")
+        for k in range(0, len(rest), AT_ONCE):
+            some = rest[k : k + AT_ONCE]
             sizes = np.array([len(raw) for _, raw in some])
             row = np.repeat(np.arange(len(some), dtype=np.int32), sizes)
             pos = (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
@@ -191,6 +212,7 @@ class Codec:
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes that each sequence of packed ids stands for; ids outside the vocabulary stand for nothing."""
+        self._need("vocab")
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         self._table("ids", {"d": np.repeat(np.arange(len(ids), dtype=np.int32), sizes), "pos": np.arange(sizes.sum(), dtype=np.int32), "id": np.frombuffer(b"".join(ids), np.uint32).astype(np.int32)})
         found = dict(self.con.sql(DECODE).fetchall())
@@ -239,7 +261,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def each(batch):
         ids = texts_of(batch.column("ids"))
-        for start, stop in groups_of(ids, 4_000_000):
+        for start, stop in groups_of(ids, 2_000_000):
             yield start, stop, [codec(path, pattern).decode(ids[start:stop])]
 
     return _mapped(encoded, ["decoded"], each)
