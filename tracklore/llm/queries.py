@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklore.llm import bpe, chat, ngram_join, quality, substring
+from tracklore.llm import bpe, chat, ngram_join, quality, substring, suffix_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,9 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n
     ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(ws) + 1), lambda j: NOT list_contains(gone, j)), lambda j: ws[j]), ' '), '') END) AS kept_sha256
 FROM w LEFT JOIN g ON w.doc_id = g.doc_id
 """
+
+
+@_query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_array.remove_repeats(docs, width=100).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))

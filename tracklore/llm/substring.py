@@ -91,7 +91,7 @@ def _repeated_here(hashes: np.ndarray, owner: np.ndarray, place: np.ndarray, ids
     return out
 
 
-def _meet(table: pa.Table, blocks: int) -> pa.Table:
+def _meet(table: pa.Table, blocks: int, wide: bool) -> pa.Table:
     """Of one fragment: places whose hash is at another place too and, where `blocks`, of which one is a block."""
     kinds = table.column("kind").to_pylist()
     ids, ties, counts, places, packed = (table.column(c).to_pylist() for c in _NAMES[2:])
@@ -103,8 +103,8 @@ def _meet(table: pa.Table, blocks: int) -> pa.Table:
         return np.repeat(flat(ids, np.int64), many), np.repeat(flat(ties, np.int64), many), flat(places, np.uint32)
 
     own, tie, place = gathered(_PLACED)
-    hashes = np.concatenate([_unpack(packed[i], not blocks) for i in at[_PLACED]] or [np.zeros(0, np.uint64)])
-    seen = np.unique(np.concatenate([_unpack(packed[i], not blocks) for i in at[_SEEN]] or [np.zeros(0, np.uint64)]))
+    hashes = np.concatenate([_unpack(packed[i], wide) for i in at[_PLACED]] or [np.zeros(0, np.uint64)])
+    seen = np.unique(np.concatenate([_unpack(packed[i], wide) for i in at[_SEEN]] or [np.zeros(0, np.uint64)]))
     if len(hashes):
         order = np.argsort(hashes, kind="stable")
         hashes, own, tie, place = hashes[order], own[order], tie[order], place[order]
@@ -156,7 +156,7 @@ def anchors(docs: DataFrame, block: int, fragments: int) -> DataFrame:
                 known = twice & np.isin(hashes, blocks)
                 yield from _emit(list(_deal(hashes, owner, place, ids[a:b], ties[a:b], fragments, known, False)))
 
-    return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, block), MARKS)
+    return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, block, False), MARKS)
 
 
 def repeats(docs: DataFrame, window: int, block: int, fragments: int) -> DataFrame:
@@ -188,7 +188,7 @@ def repeats(docs: DataFrame, window: int, block: int, fragments: int) -> DataFra
                 known = _repeated_here(hashes, owner, place, ids[a:b], ties[a:b])
                 yield from _emit(list(_deal(hashes, owner, place, ids[a:b], ties[a:b], fragments, known, True)))
 
-    return docs.select("_id", "_tie", "_text", "_marks").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0), MARKS)
+    return docs.select("_id", "_tie", "_text", "_marks").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, True), MARKS)
 
 
 def _removed(docs: DataFrame, window: int, kept: list[str]) -> DataFrame:
