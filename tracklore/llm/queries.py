@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklore.llm import bpe, chat, ngram_join, quality, substring, suffix_array
+from tracklore.llm import bpe, chat, mixing, ngram_join, quality, substring, suffix_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,3 +100,28 @@ FROM w LEFT JOIN g ON w.doc_id = g.doc_id
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_array.remove_repeats(docs, width=100).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@_query
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op4_source_mixing"] = """
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size, md5(doc_id::VARCHAR) AS digest FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, 3 * sum(size)::BIGINT AS most, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][((place - 1) % 3 + 1)::INT] AS weight FROM s),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(most) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+    / (sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+  FROM w WINDOW o AS (ORDER BY most::DOUBLE / weight, place)),
+t AS (SELECT *, CASE WHEN most::DOUBLE / weight <= level THEN most::DOUBLE
+    ELSE weight * (SELECT arg_min(level, (most::DOUBLE / weight, place)) FROM l WHERE most::DOUBLE / weight > level) END AS target FROM l),
+q AS (SELECT d.*, t.place, t.source_size, t.target, coalesce(sum(size) OVER (PARTITION BY t.place ORDER BY digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS ahead
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, (r * source_size + ahead + size)::DOUBLE / target AS finish FROM (SELECT *, unnest([0, 1, 2]) AS r FROM q WHERE size > 0)),
+k AS (SELECT doc_id, size, greatest(0, least(size, (SELECT sum(size) FROM d)
+    - coalesce(sum(size) OVER (ORDER BY finish, place, r, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))) AS cut FROM c)
+SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(x.taken, 0)::BIGINT AS taken
+FROM q LEFT JOIN (SELECT doc_id, sum(cut) AS taken FROM k GROUP BY doc_id) x ON q.doc_id = x.doc_id
+"""
