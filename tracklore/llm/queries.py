@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklore.llm import bpe, chat, mixing, ngram_join, quality, substring, suffix_array
+from tracklore.llm import bpe, chat, mixing, neighbours, ngram_join, quality, substring, suffix_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +125,8 @@ k AS (SELECT doc_id, size, greatest(0, least(size, (SELECT sum(size) FROM d)
 SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(x.taken, 0)::BIGINT AS taken
 FROM q LEFT JOIN (SELECT doc_id, sum(cut) AS taken FROM k GROUP BY doc_id) x ON q.doc_id = x.doc_id
 """
+
+
+@_query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
