@@ -7,9 +7,11 @@ is cut into fragments, which a buffer of documents fills packed:
    there once and without owners, so that a passage of very many documents is one row a buffer. A set whose shared
    n-grams are too few to reach the threshold leaves here; most do.
 2. Of each remaining set only a prefix in the global order needs to meet others: two linked sets have a common n-gram
-   among their first c - need + 1 shared ones. Sets that meet are compared with the list's leader, the set with the
-   fewest n-grams of its own, and joined to its component; lists whose sets are all in one component are settled without
-   ever making their pairs. After ROUNDS such rounds, all pairs across components that are left are compared.
+   among their first c - need + 1 shared ones. Lists of sets that meet never make their pairs. First each set is
+   compared with one leader, the set with the fewest n-grams of its own. Lists with one component are then settled; in
+   the others each set is compared with one anchor, the best set of the largest component there. The pairs left have a set
+   outside that component; two sets with one anchor, as in a large group of near copies, need only what each has beside
+   it or lacks of it for an exact count, and most of them fall to a bound on the sizes of these.
 3. A comparison counts common n-grams in each of PARTS fragments apart and sums the counts per pair.
 
 Length bounds hold before any comparison: the intersection is at most the smaller count of shared n-grams. Sets with the
@@ -37,8 +39,7 @@ from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, te
 FRAGMENT = 8_000_000
 #: Bytes of text packed together before the exchange.
 BUFFER = 4_000_000
-ROUNDS = 2
-PARTS = 8
+PARTS = 4
 _LOW = np.uint64(2**48 - 1)
 _32 = np.uint64(32)
 
@@ -209,13 +210,24 @@ def _enough(a: str, b: str, percent: int):
     return (100 + percent) * F.least(F.col(f"{a}c"), F.col(f"{b}c")) >= percent * (F.col(f"{a}n") + F.col(f"{b}n"))
 
 
-def _linked(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (a, b, an, bn) that reach the threshold; overlaps are counted part by part."""
+def _compared(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """pairs (a, b, an, bn) with common, the overlap, and what each has alone, counted or gathered part by part."""
     left = pairs.join(parts.select(F.col("set_id").alias("a"), "part", F.col("keys").alias("left")), "a")
     both = left.join(parts.select(F.col("set_id").alias("b"), "part", F.col("keys").alias("right")), ["b", "part"])
-    partial = both.select("a", "b", "an", "bn", F.size(F.array_intersect("left", "right")).alias("common"))
-    whole = partial.groupBy("a", "b", "an", "bn").agg(F.sum("common").alias("common"))
-    return whole.filter((100 + percent) * F.col("common") >= percent * (F.col("an") + F.col("bn"))).select("a", "b")
+    partial = both.select("a", "b", "an", "bn", F.size(F.array_intersect("left", "right")).alias("common"), F.array_except("left", "right").alias("more"), F.array_except("right", "left").alias("less"))
+    return partial.groupBy("a", "b", "an", "bn").agg(F.sum("common").cast("int").alias("common"), F.flatten(F.collect_list("more")).alias("more"), F.flatten(F.collect_list("less")).alias("less"))
+
+
+def _reaches(percent: int, common="common"):
+    return (100 + percent) * (F.col(common) if isinstance(common, str) else common) >= percent * (F.col("an") + F.col("bn"))
+
+
+def _common_by_anchor():
+    """The overlap of two sets that were compared with the same set, from what each lacks of it and has beside it: an upper
+    bound that costs nothing, and the exact count."""
+    most = F.col("size") - F.greatest(F.size("aless"), F.size("bless")) + F.least(F.size("amore"), F.size("bmore"))
+    lacking = F.size("aless") + F.size("bless") - F.size(F.array_intersect("aless", "bless"))
+    return most, F.col("size") - lacking + F.size(F.array_intersect("amore", "bmore"))
 
 
 def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
@@ -224,39 +236,61 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     parts = work.cut(
         eligible.select("set_id", F.explode(F.expr(f"transform(sequence(0, {PARTS - 1}), p -> struct(p as part, filter(keys, k -> pmod(k, {PARTS}) = p) as keys))")).alias("x")).select("set_id", "x.part", "x.keys"), "parts"
     )
-    rows = work.cut(eligible.select(F.explode(F.slice("keys", F.lit(1), F.col("c") - need + 1)).alias("key"), "set_id", "n", "c"), "prefixes")
-    links, comps = None, None
+    own = ((F.col("n") - F.col("c")) / F.col("n")).alias("own")
+    rows = work.cut(eligible.select(F.explode(F.slice("keys", F.lit(1), F.col("c") - need + 1)).alias("key"), "set_id", "n", "c", own), "prefixes")
+    none = work.spark.createDataFrame([], "node long, comp long")
 
-    def placed() -> DataFrame:
-        if comps is None:
-            return rows.withColumn("comp", F.col("set_id"))
+    def placed(comps: DataFrame) -> DataFrame:
         return rows.join(comps, F.col("set_id") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "set_id")).drop("node")
 
-    for k in range(ROUNDS + 1):
-        at = placed()
-        lists = at.groupBy("key").agg(F.min(F.struct(((F.col("n") - F.col("c")) / F.col("n")).alias("own"), "set_id", "n", "c", "comp")).alias("lead"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        open_lists = lists.filter("low != high")
-        if k < ROUNDS:
-            met = at.join(open_lists.select("key", *(F.col(f"lead.{x}").alias(y) for x, y in (("own", "own"), ("set_id", "b"), ("n", "bn"), ("c", "bc"), ("comp", "bcomp")))), "key")
-            met = met.select(F.col("set_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), "comp", "own", "b", "bn", "bc", "bcomp").filter("comp != bcomp").filter(_enough("a", "b", percent))
-            pairs = met.groupBy("a", "an").agg(F.min(F.struct("own", "b", "bn")).alias("x")).select("a", "an", "x.b", "x.bn")
-        else:
-            most = at.join(open_lists.select("key"), "key").groupBy("key", "comp").count().groupBy("key").agg(F.max(F.struct("count", "comp")).alias("x")).select("key", F.col("x.comp").alias("most"))
-            few = at.join(most, "key").filter("comp != most").select("key", F.col("set_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("comp").alias("acomp"))
-            rest = at.select("key", F.col("set_id").alias("b"), F.col("n").alias("bn"), F.col("c").alias("bc"), F.col("comp").alias("bcomp"))
-            met = few.join(rest, (few.key == rest.key) & (F.col("acomp") != F.col("bcomp")) & _enough("a", "b", percent))
-            low = F.col("a") < F.col("b")
-            pairs = met.select(*(F.when(low, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("an", "bn"), ("bn", "an")))).distinct()
-        pairs = work.cut(pairs, f"pairs-{k}")
-        if pairs.isEmpty():
-            continue
-        fresh = work.cut(_linked(pairs, parts, percent), f"links-{k}")
-        links = fresh if links is None else links.union(fresh)
-        comps = work.cut(components(work, links, f"components-{k}"), f"comps-{k}")
-        work.release()
-    if comps is None:
-        return work.spark.createDataFrame([], "node long, comp long")
-    return comps
+    def opened(at: DataFrame) -> DataFrame:
+        return at.join(at.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("key"), "key")
+
+    def grown(links: DataFrame, name: str) -> DataFrame:
+        return work.cut(components(work, links, f"components-{name}"), f"comps-{name}") if not links.isEmpty() else none
+
+    # Each set meets the set with the fewest n-grams of its own among the leaders of its lists.
+    lead = F.min(F.struct("own", "set_id", "n", "c")).alias("lead")
+    met = rows.join(rows.groupBy("key").agg(lead), "key").select(F.col("set_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("lead.own").alias("own"), F.col("lead.set_id").alias("b"), F.col("lead.n").alias("bn"), F.col("lead.c").alias("bc"))
+    met = met.filter("a != b").filter(_enough("a", "b", percent)).groupBy("a", "an").agg(F.min(F.struct("own", "b", "bn")).alias("x"))
+    pairs = work.cut(met.select("a", "an", "x.b", "x.bn"), "pairs-leaders")
+    links = work.cut(_compared(pairs, parts).filter(_reaches(percent)).select("a", "b"), "links-leaders")
+    comps = grown(links, "leaders")
+    work.release()
+
+    # Each set of an unsettled list is compared with one set for all, its anchor: the best of the largest component there.
+    at = work.cut(opened(placed(comps)), "unsettled")
+    best = at.groupBy("comp").agg(lead)
+    largest = at.groupBy("key", "comp").count().groupBy("key").agg(F.max(F.struct("count", "comp")).alias("x")).select("key", F.col("x.comp").alias("comp"))
+    anchors = largest.join(best, "comp").select("key", "comp", F.col("lead.set_id").alias("b"), F.col("lead.n").alias("bn"), F.col("lead.c").alias("size"))
+    chosen = at.drop("comp").join(anchors.drop("comp"), "key").groupBy("set_id", "n", "b", "bn", "size").count().groupBy(F.col("set_id").alias("a"), F.col("n").alias("an")).agg(F.max(F.struct("count", "b", "bn", "size")).alias("x")).select("a", "an", "x.b", "x.bn", "x.size")
+    chosen = work.cut(chosen, "anchors")
+    compared = work.cut(_compared(chosen.filter("a != b").drop("size"), parts), "compared")
+    links = work.cut(links.union(compared.filter(_reaches(percent)).select("a", "b")), "links-anchors")
+    comps = grown(links, "anchors")
+    work.release()
+
+    # What is left: pairs across components of which one set is outside its list's largest component. Two sets with one
+    # anchor are compared on the spot.
+    nothing = F.array().cast("array<long>")
+    beside = chosen.join(compared.select("a", "b", "more", "less"), ["a", "b"], "left").select(F.col("a").alias("set_id"), F.col("b").alias("anchor"), "size", F.coalesce("more", nothing).alias("more"), F.coalesce("less", nothing).alias("less"))
+    # A set that others have for an anchor is its own.
+    others = beside.filter("set_id != anchor").select(F.col("anchor").alias("set_id"), F.col("size").alias("full")).distinct()
+    beside = beside.join(others, "set_id", "left").select("set_id", *(F.when(F.col("full").isNull(), F.col(x)).otherwise(y).alias(x) for x, y in (("anchor", F.col("set_id")), ("size", F.col("full")), ("more", nothing), ("less", nothing))))
+    at = opened(placed(comps)).join(work.cut(beside, "beside"), "set_id", "left")
+    at = work.cut(at, "left")
+    most = at.groupBy("key", "comp").count().groupBy("key").agg(F.max(F.struct("count", "comp")).alias("x")).select("key", F.col("x.comp").alias("most"))
+    few = at.join(most, "key").filter("comp != most").select("key", F.col("set_id").alias("a"), *(F.col(x).alias(f"a{x}") for x in ("n", "c", "comp", "anchor", "more", "less")), "size")
+    rest = at.select("key", F.col("set_id").alias("b"), *(F.col(x).alias(f"b{x}") for x in ("n", "c", "comp", "anchor", "more", "less")))
+    same = F.coalesce(F.col("aanchor") == F.col("banchor"), F.lit(False))
+    bound, common = _common_by_anchor()
+    fits = ~same | (_reaches(percent, bound) & _reaches(percent, common))
+    met = few.join(rest, (few.key == rest.key) & (F.col("acomp") != F.col("bcomp")) & _enough("a", "b", percent) & fits)
+    low = F.col("a") < F.col("b")
+    ordered = met.select(same.alias("same"), *(F.when(low, F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("an", "bn"), ("bn", "an")))).distinct()
+    pairs = work.cut(ordered, "pairs-left")
+    fresh = pairs.filter("same").select("a", "b").union(_compared(pairs.filter("not same").drop("same"), parts).filter(_reaches(percent)).select("a", "b"))
+    return grown(work.cut(links.union(fresh), "links"), "all")
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
