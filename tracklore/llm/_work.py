@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -44,6 +45,7 @@ class Work:
 
     def release(self) -> None:
         """Let Spark's cleaner see that shuffles of finished steps are unreachable."""
+        gc.collect()
         self.spark._jvm.System.gc()
 
 

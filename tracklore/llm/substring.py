@@ -10,7 +10,7 @@ its document. These blocks are the index; every rolling window of BLOCK words, i
    grows to its maximal exact repeat. The windows' hashes meet in fragments, and those at two places or more are repeats.
 3. Documents, joined with the starts of their repeats, lose the words that these cover.
 
-Repeats are judged on the input. Hashes of windows have 64 bits; of blocks, which only choose candidates, 48 and
+Repeats are judged on the input. Hashes of windows have 64 bits; of blocks, which only choose candidates, 32 and
 the fragment are compared. Null text has no words;
 documents of fewer than `window` words lose nothing. See _marks for repeated rows and null ids. Other columns pass
 unchanged, those named like results are replaced. An empty table gives an empty table."""
@@ -39,15 +39,21 @@ _PLACED, _SEEN, _KNOWN = 0, 1, 2
 
 
 def _pack(x: np.ndarray, wide: bool) -> bytes:
-    """Hashes with all bits, or the lower 48, which the fragment adds to."""
-    return x.tobytes() if wide else x.astype(np.uint32).tobytes() + (x >> _32).astype(np.uint16).tobytes()
+    """Hashes with all bits, or the lower 32, which the fragment adds to."""
+    return x.tobytes() if wide else x.astype(np.uint32).tobytes()
 
 
 def _unpack(data: bytes, wide: bool) -> np.ndarray:
-    if wide:
-        return np.frombuffer(data, np.uint64)
-    n = len(data) // 6
-    return np.frombuffer(data, np.uint32, n).astype(np.uint64) | (np.frombuffer(data, np.uint16, n, 4 * n).astype(np.uint64) << _32)
+    return np.frombuffer(data, np.uint64 if wide else np.uint32)
+
+
+def _pack_places(place: np.ndarray) -> bytes:
+    """Differences of places, byte by byte: the higher bytes are nearly all zero, and shrink in the shuffle."""
+    return np.diff(place.astype(np.uint32), prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack_places(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.uint32).ravel(), dtype=np.uint32)
 
 
 def _deal(hashes: np.ndarray, owner: np.ndarray, place: np.ndarray, ids: np.ndarray, ties: np.ndarray, fragments: int, known: np.ndarray, wide: bool) -> Iterator[tuple]:
@@ -66,7 +72,7 @@ def _deal(hashes: np.ndarray, owner: np.ndarray, place: np.ndarray, ids: np.ndar
             own = owner[part]
             run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
             who = own[run]
-            yield int(target[a]), kind, ids[who].tobytes(), ties[who].tobytes(), np.diff(np.append(run, len(own))).astype(np.uint32).tobytes(), place[part].astype(np.uint32).tobytes(), _pack(hashes[part], wide) if kind == _PLACED else b""
+            yield int(target[a]), kind, ids[who].tobytes(), ties[who].tobytes(), np.diff(np.append(run, len(own))).astype(np.uint32).tobytes(), _pack_places(place[part]), _pack(hashes[part], wide) if kind == _PLACED else b""
 
     yield from rows(_PLACED, np.flatnonzero(~known), frag[~known])
     at = np.flatnonzero(known)
@@ -100,11 +106,11 @@ def _meet(table: pa.Table, blocks: int, wide: bool) -> pa.Table:
     def gathered(kind: int):
         flat = lambda column, dtype: np.frombuffer(b"".join(column[i] for i in at[kind]), dtype)
         many = flat(counts, np.uint32)
-        return np.repeat(flat(ids, np.int64), many), np.repeat(flat(ties, np.int64), many), flat(places, np.uint32)
+        return np.repeat(flat(ids, np.int64), many), np.repeat(flat(ties, np.int64), many), np.concatenate([_unpack_places(places[i]) for i in at[kind]] or [np.zeros(0, np.uint32)])
 
     own, tie, place = gathered(_PLACED)
-    hashes = np.concatenate([_unpack(packed[i], wide) for i in at[_PLACED]] or [np.zeros(0, np.uint64)])
-    seen = np.unique(np.concatenate([_unpack(packed[i], wide) for i in at[_SEEN]] or [np.zeros(0, np.uint64)]))
+    hashes = np.concatenate([_unpack(packed[i], wide) for i in at[_PLACED]] or [np.zeros(0, np.uint64 if wide else np.uint32)])
+    seen = np.unique(np.concatenate([_unpack(packed[i], wide) for i in at[_SEEN]] or [np.zeros(0, np.uint64 if wide else np.uint32)]))
     if len(hashes):
         order = np.argsort(hashes, kind="stable")
         hashes, own, tie, place = hashes[order], own[order], tie[order], place[order]
