@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklore.llm import bpe, chat, mixing, neighbours, ngram_join, quality, substring, suffix_array
+from tracklore.llm import bpe, chat, mixing, neighbours, ngram_join, quality, substring, suffix_array, toxicity, wordpiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,17 @@ FROM q LEFT JOIN (SELECT doc_id, sum(cut) AS taken FROM k GROUP BY doc_id) x ON
 @_query
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+@_query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return wordpiece.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
+    chain = toxicity.fit_chain(docs.join(labels, "doc_id"), ["poor", "toxic"])
+    return toxicity.score(docs, chain, ["poor", "toxic"])
