@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import byte_values, prefix, span, windows
-from tracklore.llm._marks import MARKS, covered, keyed, marks_of, rows_by_document, with_marks
+from tracklore.llm._marks import MARKS, keyed, marks_of, with_marks
 from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, texts_of
 from tracklore.llm.substring import _PACKED, _deal, _emit, _meet, _repeated_here
 
@@ -165,12 +165,26 @@ def _common(characters: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.
     return out
 
 
-_FOUND = T.StructType([T.StructField("string", T.LongType()), T.StructField("string2", T.LongType()), T.StructField("_id", T.LongType()), T.StructField("_tie", T.LongType()), T.StructField("start", T.LongType()), T.StructField("open", T.BooleanType())])
+#: Later strings have _marks, by document; first strings that other buckets may have earlier have their hashes and start.
+_FOUND = T.StructType([*(T.StructField(x, T.LongType()) for x in ("string", "string2", "_id", "_tie", "start")), T.StructField("_marks", T.BinaryType())])
 
 
-def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int, gram: int) -> tuple | None:
-    """Later strings of one sorted bucket (open: False) and, of the tokens at its ends, first strings (open: True), to be
-    compared with those of other buckets."""
+def _runs(ids: np.ndarray, ties: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """By document: runs of consecutive starts as pairs (first start, how many) of uint32."""
+    order = np.lexsort((starts, ties, ids))
+    ids, ties, starts = ids[order], ties[order], starts[order]
+    fresh = np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))) if len(ids) else np.zeros(0, bool)
+    begin = np.flatnonzero(fresh | np.concatenate(([True], starts[1:] > starts[:-1] + 1))) if len(ids) else np.zeros(0, np.int64)
+    stop = np.append(begin[1:], len(ids)) - 1
+    pairs = np.column_stack([starts[begin], starts[stop] - starts[begin] + 1]).astype(np.uint32)
+    document = np.flatnonzero(fresh[begin])
+    raw, cut = pairs.tobytes(), (np.append(document, len(begin)) * 8).tolist()
+    return ids[begin[document]], ties[begin[document]], [raw[a:b] for a, b in zip(cut, cut[1:])]
+
+
+def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int, gram: int) -> pa.Table | None:
+    """Later strings of one sorted bucket and, of the tokens at its ends, first strings, to be compared with those of other
+    buckets."""
     n = len(ids)
     left_size, right_size = np.fromiter(map(len, left), np.int64, n), np.fromiter(map(len, right), np.int64, n)
     forward = _characters(right, width)
@@ -206,8 +220,12 @@ def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int
     lead = np.flatnonzero(first)[np.cumsum(first) - 1]
     later = ~first & ((ids[row] != ids[row[lead]]) | (ties[row] != ties[row[lead]]) | (start != start[lead]))
     opened = first & ends[row]
-    keep = later | opened
-    return string[keep].view(np.int64), middle[keep].view(np.int64), ids[row[keep]], ties[row[keep]], start[keep], opened[keep]
+    by_document = _runs(ids[row[later]], ties[row[later]], start[later])
+    many, row = len(by_document[0]), row[opened]
+    none = pa.nulls(many, pa.int64())
+    made = [(none, string[opened].view(np.int64)), (none, middle[opened].view(np.int64)), (by_document[0], ids[row]), (by_document[1], ties[row]), (none, start[opened])]
+    columns = [pa.chunked_array([pa.array(a, pa.int64()), pa.array(b, pa.int64())]) for a, b in made]
+    return pa.table([*columns, pa.chunked_array([pa.array(by_document[2], pa.binary()), pa.nulls(len(row), pa.binary())])], _FOUND.names)
 
 
 def sorted_buckets(suffixes: DataFrame, width: int, gram: int, buckets: int) -> DataFrame:
@@ -220,26 +238,26 @@ def sorted_buckets(suffixes: DataFrame, width: int, gram: int, buckets: int) ->
         whole = pa.Table.from_batches(parts)
         ids, ties, places = (whole.column(c).to_numpy() for c in ("_id", "_tie", "place"))
         found = _bucket(ids, ties, places, whole.column("left").to_pylist(), whole.column("right").to_pylist(), width, gram)
-        if found is None:
-            return
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], _FOUND.names)
+        if found is not None:
+            yield from found.combine_chunks().to_batches()
 
     return suffixes.repartitionByRange(buckets, "lead", "_id", "_tie", "place").mapInArrow(run, _FOUND)
 
 
-def _starts(found: DataFrame) -> DataFrame:
-    """_id, _tie, _marks: starts (uint32) of strings that are not the first of their kind."""
+def _later(found: DataFrame) -> DataFrame:
+    """_id, _tie, _marks: runs of starts of strings that are not the first of their kind."""
     first = F.struct("_id", "_tie", "start")
-    across = found.filter("open").groupBy("string", "string2").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    opened = found.filter("open").join(across, ["string", "string2"]).filter(first != F.col("first"))
-    later = found.filter("not open").select("_id", "_tie", "start").union(opened.select("_id", "_tie", "start"))
+    ends = found.filter("string IS NOT NULL")
+    across = ends.groupBy("string", "string2").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    opened = ends.join(across, ["string", "string2"]).filter(first != F.col("first")).select("_id", "_tie", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield from rows_by_document(*(batch.column(i).to_numpy() for i in range(2)), batch.column(2).to_numpy().astype(np.uint32)).to_batches()
+                ids, ties, marks = _runs(*(batch.column(i).to_numpy() for i in range(3)))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ties), pa.array(marks, pa.binary())], ["_id", "_tie", "_marks"])
 
-    return later.mapInArrow(run, MARKS)
+    return found.filter("_marks IS NOT NULL").select("_id", "_tie", "_marks").union(opened.mapInArrow(run, MARKS))
 
 
 def _removed(docs: DataFrame, width: int, kept: list[str]) -> DataFrame:
@@ -252,7 +270,9 @@ def _removed(docs: DataFrame, width: int, kept: list[str]) -> DataFrame:
                 if not len(starts):
                     rows.append((len(text), 0, 0, text, text))
                     continue
-                cover = covered(np.unique(starts).astype(np.int64), width, len(text))
+                begin, many = starts.reshape(-1, 2).astype(np.int64).T
+                change = np.bincount(begin, minlength=len(text) + 1) - np.bincount(begin + many - 1 + width, minlength=len(text) + 1)
+                cover = np.cumsum(change[:-1]) > 0
                 edge = np.diff(np.concatenate(([0], cover.astype(np.int8), [0])))
                 data = np.frombuffer(text, np.uint8)
                 # In the text, a character stays whole if any of its bytes stays.
@@ -288,6 +308,6 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
     total = suffixes.count()
     found = work.cut(sorted_buckets(suffixes, width, gram, max(1, -(-total * 2 * width // BUCKET))), "found")
     work.drop("suffixes")
-    starts = work.cut(_starts(found), "starts")
+    starts = work.cut(_later(found), "later")
     work.drop("found")
     return _removed(with_marks(own.select(*kept, "_id", "_tie", "_text"), starts), width, kept)
