@@ -62,6 +62,11 @@ def test_kept_text_has_whole_characters(spark):
         r.kept_text.encode()
 
 
+def test_rows_that_repeat_all(spark):
+    rows = [(3, "x " * 50)] * 2
+    assert _got(documents(spark, rows), 100, 32) == _brute(rows, 100)
+
+
 def test_empty_table_and_clashing_names(spark):
     docs = documents(spark, [(1, "a b"), (2, "a b")]).withColumnRenamed("source", "n_spans").withColumnRenamed("lang", "lead")
     assert remove_repeats(docs.limit(0)).count() == 0

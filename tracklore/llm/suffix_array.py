@@ -171,10 +171,12 @@ _FOUND = T.StructType([*(T.StructField(x, T.LongType()) for x in ("string", "str
 
 def _runs(ids: np.ndarray, ties: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """By document: runs of consecutive starts as pairs (first start, how many) of uint32."""
+    if not len(ids):
+        return ids, ties, []
     order = np.lexsort((starts, ties, ids))
     ids, ties, starts = ids[order], ties[order], starts[order]
-    fresh = np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))) if len(ids) else np.zeros(0, bool)
-    begin = np.flatnonzero(fresh | np.concatenate(([True], starts[1:] > starts[:-1] + 1))) if len(ids) else np.zeros(0, np.int64)
+    fresh = np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])))
+    begin = np.flatnonzero(fresh | np.concatenate(([True], starts[1:] > starts[:-1] + 1)))
     stop = np.append(begin[1:], len(ids)) - 1
     pairs = np.column_stack([starts[begin], starts[stop] - starts[begin] + 1]).astype(np.uint32)
     document = np.flatnonzero(fresh[begin])
