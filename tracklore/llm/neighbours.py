@@ -7,7 +7,7 @@ most ERRORS * |q| * sqrt((1 / a**2 - 1) / (dimensions - 1)) but for odds that fa
 
 Index: all vectors, packed in blocks of rows; only the centre is fitted, on the SAMPLE vectors with the smallest hashes of
 their ids. Search: packed blocks of queries meet packed blocks of the index. In each pair of blocks the FIRST best estimates
-are computed exactly; every vector whose upper bound reaches the k-th best of these is computed exactly too, so no list
+(the best of each part of the block) are computed exactly; every vector whose upper bound reaches the k-th best of these is computed exactly too, so no list
 of candidates is cut. Exact scores are double sums over dimensions in order. The best k of each block are merged.
 
 Vectors that are null, zero, or hold a null or non-finite component take no part, nor do rows with a null id or with
@@ -28,9 +28,9 @@ from tracklore.llm._work import Work
 
 ROWS, QUERIES = 16_384, 2_048
 SAMPLE = 16_384
-FIRST = 64
-ERRORS = 3.0
-AT_ONCE = 128
+FIRST = 256
+ERRORS = 2.2
+AT_ONCE = 64
 
 
 def rotation(dimensions: int, seed: int = 7) -> np.ndarray:
@@ -48,33 +48,44 @@ def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[n
     return np.packbits(unit > 0, axis=1), norm, np.where(norm > 0, agree, 1.0)
 
 
-def exact(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Inner products of paired rows, as double sums over dimensions in order."""
-    total = np.zeros(len(rows))
-    for d in range(rows.shape[1]):
-        total += rows[:, d].astype(np.float64) * queries[:, d]
+def exact(columns: np.ndarray, row: np.ndarray, queries: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Inner products of paired rows and queries, both by columns, as double sums over dimensions in order."""
+    total = np.zeros(len(row))
+    for d in range(len(columns)):
+        total += columns[d].take(row) * queries[d].take(which)
     return total
 
 
-def _best(ids, vectors, bits, norm, agree, query_ids, queries, centre, turn, k: int):
-    """For each query of a few: row numbers and exact scores that surely hold the block's best k."""
-    dimensions = vectors.shape[1]
-    signs = (np.unpackbits(bits, axis=1, count=dimensions).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dimensions))
-    turned = (queries @ turn).astype(np.float32)
-    estimate = (turned @ signs.T) * (norm / agree).astype(np.float32) + (queries @ centre).astype(np.float32)[:, None]
+def _plane(bits: np.ndarray, norm: np.ndarray, agree: np.ndarray, dimensions: int) -> np.ndarray:
+    """Columns whose product with (turned query, |query|) is the upper bound of each residual's inner product."""
+    signs = np.unpackbits(bits, axis=1, count=dimensions).astype(np.float32) * 2 - 1
+    signs *= (norm / (agree * np.sqrt(dimensions))).astype(np.float32)[:, None]
     error = ERRORS * norm * np.sqrt(np.maximum(0, 1 / agree**2 - 1) / max(1, dimensions - 1))
-    upper = estimate + (np.sqrt((queries**2).sum(1))[:, None] * error + 1e-5).astype(np.float32)
-    own = query_ids[:, None] == ids[None, :]
-    estimate[own] = -np.inf
-    upper[own] = -np.inf
-    many = min(FIRST, len(ids))
-    first = np.argpartition(-estimate, many - 1, axis=1)[:, :many]
-    which = np.repeat(np.arange(len(queries)), many)
-    score = exact(vectors[first.ravel()], queries[which]).reshape(len(queries), many)
-    score[np.take_along_axis(own, first, 1)] = -np.inf
-    line = -np.partition(-score, k - 1, axis=1)[:, k - 1] if many >= k else np.full(len(queries), -np.inf)
-    which, row = np.nonzero((upper >= line[:, None].astype(np.float32) - np.float32(1e-5)) & ~own)
-    return which, row, exact(vectors[row], queries[which])
+    return np.ascontiguousarray(np.column_stack([signs, error.astype(np.float32)]).T)
+
+
+def _best(ids, columns, plane, query_ids, queries, centre, turn, k: int):
+    """For each query of a few: row numbers (ids are sorted) and exact scores that surely hold the block's best k."""
+    n, many = len(ids), len(queries)
+    by_column = np.ascontiguousarray(queries.T)
+    asked = np.column_stack([queries @ turn, np.sqrt((queries**2).sum(1))]).astype(np.float32)
+    upper = asked @ plane
+    low, high = np.searchsorted(ids, query_ids), np.searchsorted(ids, query_ids, "right")
+    for i in np.flatnonzero(high > low):
+        upper[i, low[i] : high[i]] = -np.inf
+    # The best bound of each of FIRST or more parts of the block gives rows whose exact scores set the line.
+    parts = np.append(np.arange(0, n, max(1, n // FIRST)), n)
+    tops = [upper[:, a:b].argmax(1) + a for a, b in zip(parts[:-1], parts[1:])]
+    first = np.column_stack(tops)
+    which = np.repeat(np.arange(many), first.shape[1])
+    score = exact(columns, first.ravel(), by_column, which).reshape(first.shape)
+    score[(first >= low[:, None]) & (first < high[:, None])] = -np.inf
+    line = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k] if score.shape[1] >= k else np.full(many, -np.inf)
+    shift = queries @ centre
+    which, row = np.nonzero(upper >= (line - shift - 1e-5 * (1 + np.abs(line)))[:, None].astype(np.float32))
+    keep = (row < low[which]) | (row >= high[which])
+    which, row = which[keep], row[keep]
+    return which, row, exact(columns, row, by_column, which)
 
 
 def _packed(rows: DataFrame, size: int, total: int, centre: np.ndarray | None, turn: np.ndarray | None) -> DataFrame:
@@ -131,9 +142,10 @@ def nearest(table: DataFrame, every: int = 20, k: int = 20, key: str = "vec_id",
                 queries = np.frombuffer(row["query_vectors"]).reshape(len(query_ids), -1)
                 bits = np.frombuffer(row["bits"], np.uint8).reshape(len(ids), -1)
                 norm, agree = np.frombuffer(row["norm"]), np.frombuffer(row["agree"])
+                plane, columns = _plane(bits, norm, agree, vectors.shape[1]), np.ascontiguousarray(vectors.T)
                 for a in range(0, len(query_ids), AT_ONCE):
                     some = queries[a : a + AT_ONCE]
-                    which, at, score = _best(ids, vectors, bits, norm, agree, query_ids[a : a + AT_ONCE], some, centre, turn, k)
+                    which, at, score = _best(ids, columns, plane, query_ids[a : a + AT_ONCE], some, centre, turn, k)
                     order = np.lexsort((ids[at], -score, which))
                     which, at, score = which[order], at[order], score[order]
                     begin = np.searchsorted(which, np.arange(len(some)))
