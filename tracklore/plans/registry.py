@@ -20,3 +20,6 @@ def query(name: str, sql: str | None = None):
         return f
 
     return add
+
+
+from tracklore.plans import kpi, sequence  # noqa: E402, F401
