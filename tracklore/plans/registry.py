@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from tracklore.plans import kpi, sequence  # noqa: E402, F401
+from tracklore.plans import kpi, sequence, table, text  # noqa: E402, F401
