@@ -33,8 +33,8 @@ from tracklore.llm._marks import MARKS, keyed, marks_of, with_marks
 from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, texts_of
 from tracklore.llm.substring import _PACKED, _deal, _emit, _meet, _repeated_here
 
-FRAGMENT = 24_000_000
-BUFFER = 2_000_000
+FRAGMENT = 16_000_000
+BUFFER = 1_000_000
 GRAM = 32
 #: Bytes of contexts in one bucket.
 BUCKET = 6_000_000
@@ -165,28 +165,29 @@ def _common(characters: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.
     return out
 
 
-#: Later strings have _marks, by document; first strings that other buckets may have earlier have their hashes and start.
-_FOUND = T.StructType([*(T.StructField(x, T.LongType()) for x in ("string", "string2", "_id", "_tie", "start")), T.StructField("_marks", T.BinaryType())])
+#: Later strings have _marks, by document; first strings that other buckets may have earlier have their hash and start.
+_FOUND = T.StructType([*(T.StructField(x, T.LongType()) for x in ("string", "_id", "_tie", "start")), T.StructField("_marks", T.BinaryType())])
 
 
-def _runs(ids: np.ndarray, ties: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """By document: runs of consecutive starts as pairs (first start, how many) of uint32."""
+def _by_document(ids: np.ndarray, ties: np.ndarray, starts: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Runs of consecutive starts, as pairs (first start, how many) of uint32, gathered by document."""
     if not len(ids):
         return ids, ties, []
     order = np.lexsort((starts, ties, ids))
-    ids, ties, starts = ids[order], ties[order], starts[order]
-    fresh = np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1])))
-    begin = np.flatnonzero(fresh | np.concatenate(([True], starts[1:] > starts[:-1] + 1)))
-    stop = np.append(begin[1:], len(ids)) - 1
-    pairs = np.column_stack([starts[begin], starts[stop] - starts[begin] + 1]).astype(np.uint32)
-    document = np.flatnonzero(fresh[begin])
-    raw, cut = pairs.tobytes(), (np.append(document, len(begin)) * 8).tolist()
-    return ids[begin[document]], ties[begin[document]], [raw[a:b] for a, b in zip(cut, cut[1:])]
+    ids, ties = ids[order], ties[order]
+    document = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))))
+    raw = np.column_stack([starts[order], many[order]]).astype(np.uint32).tobytes()
+    cut = (np.append(document, len(ids)) * 8).tolist()
+    return ids[document], ties[document], [raw[a:b] for a, b in zip(cut, cut[1:])]
 
 
 def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int, gram: int) -> pa.Table | None:
     """Later strings of one sorted bucket and, of the tokens at its ends, first strings, to be compared with those of other
     buckets."""
+    # Rows in the order of places: of two rows with one string, the one before is the first.
+    ranked = np.lexsort((places, ties, ids))
+    ids, ties, places = ids[ranked], ties[ranked], places[ranked]
+    left, right = [left[i] for i in ranked], [right[i] for i in ranked]
     n = len(ids)
     left_size, right_size = np.fromiter(map(len, left), np.int64, n), np.fromiter(map(len, right), np.int64, n)
     forward = _characters(right, width)
@@ -195,8 +196,7 @@ def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int
     head = forward[:, : gram // 8]
     step = (head[order[1:]] != head[order[:-1]]).any(1) if n > 1 else np.zeros(0, bool)
     token[order] = np.concatenate(([0], np.cumsum(step)))
-    last = int(token[order[-1]])
-    ends = (token == 0) | (token == last)
+    ends = (token == 0) | (token == int(token[order[-1]]))
     reach = _common(forward, right_size, order)
     back = _characters([x[::-1] for x in left], width)
     reach_left = _common(back, left_size, multikey_order(back, token))
@@ -206,28 +206,29 @@ def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int
     many = np.maximum(0, high - low + 1)
     if not many.sum():
         return None
-    row = np.repeat(np.arange(n), many)
-    offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + low[row]
-    buffer = b"".join(x for pair in zip(left, right) for x in pair)
-    base = np.cumsum(left_size + right_size) - right_size
-    sums = prefix(byte_values(buffer))
-    begin = base[row] - offset
+    row = np.repeat(np.arange(n, dtype=np.int32), many)
+    offset = (np.arange(len(row)) - np.repeat(np.cumsum(many) - many - low, many)).astype(np.int32)
+    sums = prefix(byte_values(b"".join(x for pair in zip(left, right) for x in pair)))
+    begin = (np.cumsum(left_size + right_size) - right_size)[row] - offset
     string = span(sums, begin, begin + width)
-    middle = span(sums, begin, begin + width // 2)
-    start = places[row] - offset
-    # Equal strings meet by hash; both hashes and the token have to agree.
-    order = np.lexsort((start, ties[row], ids[row], string))
-    row, offset, string, middle, start = row[order], offset[order], string[order], middle[order], start[order]
-    first = np.concatenate(([True], (string[1:] != string[:-1]) | (middle[1:] != middle[:-1])))
-    lead = np.flatnonzero(first)[np.cumsum(first) - 1]
-    later = ~first & ((ids[row] != ids[row[lead]]) | (ties[row] != ties[row[lead]]) | (start != start[lead]))
-    opened = first & ends[row]
-    by_document = _runs(ids[row[later]], ties[row[later]], start[later])
-    many, row = len(by_document[0]), row[opened]
-    none = pa.nulls(many, pa.int64())
-    made = [(none, string[opened].view(np.int64)), (none, middle[opened].view(np.int64)), (by_document[0], ids[row]), (by_document[1], ties[row]), (none, start[opened])]
+    order = np.argsort(string)
+    run = np.flatnonzero(np.concatenate(([True], string[order[1:]] != string[order[:-1]])))
+    lead = np.zeros(len(row), np.int64)
+    lead[order] = np.repeat(np.minimum.reduceat(order, run), np.diff(np.append(run, len(row))))
+    # Flat places are in the order of rows, so the least of a run is the first string; a string may be there by two suffixes.
+    first, other = row[lead], (places[row] - offset) != (places[row[lead]] - offset[lead])
+    later = other | (ids[row] != ids[first]) | (ties[row] != ties[first])
+    opened = (lead == np.arange(len(row))) & ends[row]
+    # Offsets of a row ascend, so a run of later strings begins at its last offset.
+    change = np.concatenate(([True], row[1:] != row[:-1]))
+    start = np.flatnonzero(later & (change | np.concatenate(([True], ~later[:-1]))))
+    stop = np.flatnonzero(later & np.append(change[1:] | ~later[1:], True))
+    at = row[start]
+    by_document = _by_document(ids[at], ties[at], places[at] - offset[stop], stop - start + 1)
+    none, at = pa.nulls(len(by_document[0]), pa.int64()), row[opened]
+    made = [(none, string[opened].view(np.int64)), (by_document[0], ids[at]), (by_document[1], ties[at]), (none, places[at] - offset[opened])]
     columns = [pa.chunked_array([pa.array(a, pa.int64()), pa.array(b, pa.int64())]) for a, b in made]
-    return pa.table([*columns, pa.chunked_array([pa.array(by_document[2], pa.binary()), pa.nulls(len(row), pa.binary())])], _FOUND.names)
+    return pa.table([*columns, pa.chunked_array([pa.array(by_document[2], pa.binary()), pa.nulls(len(at), pa.binary())])], _FOUND.names)
 
 
 def sorted_buckets(suffixes: DataFrame, width: int, gram: int, buckets: int) -> DataFrame:
@@ -250,13 +251,14 @@ def _later(found: DataFrame) -> DataFrame:
     """_id, _tie, _marks: runs of starts of strings that are not the first of their kind."""
     first = F.struct("_id", "_tie", "start")
     ends = found.filter("string IS NOT NULL")
-    across = ends.groupBy("string", "string2").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    opened = ends.join(across, ["string", "string2"]).filter(first != F.col("first")).select("_id", "_tie", "start")
+    across = ends.groupBy("string").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
+    opened = ends.join(across, "string").filter(first != F.col("first")).select("_id", "_tie", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                ids, ties, marks = _runs(*(batch.column(i).to_numpy() for i in range(3)))
+                ids, ties, starts = (batch.column(i).to_numpy() for i in range(3))
+                ids, ties, marks = _by_document(ids, ties, starts, np.ones(len(ids), np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ties), pa.array(marks, pa.binary())], ["_id", "_tie", "_marks"])
 
     return found.filter("_marks IS NOT NULL").select("_id", "_tie", "_marks").union(opened.mapInArrow(run, MARKS))
