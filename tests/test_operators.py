@@ -175,3 +175,19 @@ def test_stream_shapes(spark):
     assert rollup.until_terminal(events).count() == 2
     saves = spark.createDataFrame([("s", 1, "old"), ("s", 2, "new")], "session_id string, last_save_time int, v string")
     assert rollup.latest_snapshots(saves).first().v == "new"
+
+
+def test_edits():
+    from tracklore.functions import edits
+
+    body = "def f():\n    return ‘a’  \n\nx = 1"
+    assert edits.find(body, "x = 1") == (3, 4)
+    assert edits.find(body, "return 'a'") == (1, 2)
+    assert edits.find(body, "missing") is None
+    assert edits.apply_edit("a b a", "a", "c") is None
+    assert edits.apply_edit("a b a", "a", "c", "replace_all") == "c b c"
+    assert edits.apply_edit("a b", "a", "c", "append_after") == "ac b"
+    assert edits.apply_edit("a b", "b", "c", "prepend_before") == "a cb"
+    assert edits.apply_edit("  x  ", "x  ", "y") == "  y"
+    assert edits.blocks("a\n\n```\nb\n\nc\n```\n\nd") == ["a", "```\nb\n\nc\n```", "d"]
+    assert edits.syntax_error("x = 1") is None and edits.syntax_error("x = ") is not None
