@@ -49,7 +49,7 @@ class Work:
         self.spark._jvm.System.gc()
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "8m") -> None:
+def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "4m") -> None:
     """Arrow batches of texts: at most so many rows and about so many bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

@@ -25,7 +25,7 @@ from tracklore.llm._work import bounded_batches, groups_of, texts_of
 
 LONGEST = 512
 #: Entries kept by a worker: ids of words of the pattern, and of parts of texts.
-WORDS, PARTS_KEPT = 300_000, 150_000
+WORDS, PARTS_KEPT = 200_000, 100_000
 #: Words given to one recursive query.
 AT_ONCE = 25_000
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -249,7 +249,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
 
     def each(batch):
         texts = texts_of(batch.column(text))
-        for start, stop in groups_of(texts, 2_000_000):
+        for start, stop in groups_of(texts, 1_000_000):
             yield start, stop, [codec(path, pattern).encode(texts[start:stop])]
 
     return _mapped(docs, ["ids"], each)
@@ -261,7 +261,7 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def each(batch):
         ids = texts_of(batch.column("ids"))
-        for start, stop in groups_of(ids, 2_000_000):
+        for start, stop in groups_of(ids, 1_000_000):
             yield start, stop, [codec(path, pattern).decode(ids[start:stop])]
 
     return _mapped(encoded, ["decoded"], each)

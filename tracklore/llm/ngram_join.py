@@ -38,7 +38,7 @@ from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, te
 #: Bytes of text for each fragment of the global order; bounds what one task sorts.
 FRAGMENT = 8_000_000
 #: Bytes of text packed together before the exchange.
-BUFFER = 4_000_000
+BUFFER = 2_000_000
 PARTS = 4
 _LOW = np.uint64(2**48 - 1)
 _32 = np.uint64(32)

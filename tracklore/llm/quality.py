@@ -33,7 +33,7 @@ from tracklore.llm._work import bounded_batches, groups_of, texts_of
 WINDOW = 8
 MIN_WORDS = 20
 MIN_TOKENS = 64
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
 #: Byte values of the symbol characters.
 SYMBOLS = b"#*$%&|<>"
 
@@ -181,7 +181,7 @@ def measure(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
             _fertility[vocabulary] = Fertility(vocabulary)
         for batch in batches:
             texts = texts_of(batch.column(text))
-            for start, stop in groups_of(texts, 2_000_000):
+            for start, stop in groups_of(texts, 1_000_000):
                 found = _measures(texts[start:stop], _fertility[vocabulary])
                 part = batch.slice(start, stop - start)
                 types = [pa.int64()] * 7 + [pa.float64(), pa.string()]

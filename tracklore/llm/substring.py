@@ -30,7 +30,7 @@ from tracklore.llm._marks import MARKS, covered, keyed, marks_of, rows_by_docume
 from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, texts_of
 
 FRAGMENT = 8_000_000
-BUFFER = 4_000_000
+BUFFER = 2_000_000
 _32 = np.uint64(32)
 _PACKED = "fragment int, kind byte, ids binary, ties binary, counts binary, places binary, hashes binary"
 _NAMES = [x.split()[0] for x in _PACKED.split(", ")]

@@ -183,7 +183,7 @@ def score(docs: DataFrame, chain: list[Link], categories: list[str], text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = texts_of(batch.column(text))
-            for a, b in groups_of(texts, 2_000_000):
+            for a, b in groups_of(texts, 1_000_000):
                 rows, place = _present(texts[a:b], every)
                 earlier = np.zeros((b - a, 0))
                 for link in chain:

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from tracklore.llm._hash import Words
 from tracklore.llm._work import bounded_batches, groups_of, texts_of
 
-KEPT = 400_000
+KEPT = 150_000
 START, INSIDE = 0, 1
 
 
@@ -111,7 +111,7 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         automaton, known = _of(path)
         for batch in batches:
             texts = texts_of(batch.column(text))
-            for a, b in groups_of(texts, 2_000_000):
+            for a, b in groups_of(texts, 1_000_000):
                 if len(known) > KEPT:
                     known.clear()
                 words = Words(texts[a:b])
