@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import Words, windows
-from tracklore.llm._marks import MARKS, covered, keyed, marks_of, rows_by_document, with_marks
+from tracklore.llm._marks import PACKED_MARKS, covered, keyed, marks_of, packed_marks, with_marks
 from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, texts_of
 
-FRAGMENT = 8_000_000
+FRAGMENT = 12_000_000
 BUFFER = 2_000_000
 _32 = np.uint64(32)
 _PACKED = "fragment int, kind byte, ids binary, ties binary, counts binary, places binary, hashes binary"
@@ -47,6 +47,15 @@ def _unpack(data: bytes, wide: bool) -> np.ndarray:
     return np.frombuffer(data, np.uint64 if wide else np.uint32)
 
 
+def _pack_ids(ids: np.ndarray) -> bytes:
+    """Byte by byte: the higher bytes of ids are alike, and shrink in the shuffle."""
+    return np.ascontiguousarray(ids).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _unpack_ids(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def _pack_places(place: np.ndarray) -> bytes:
     """Differences of places, byte by byte: the higher bytes are nearly all zero, and shrink in the shuffle."""
     return np.diff(place.astype(np.uint32), prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
@@ -72,7 +81,7 @@ def _deal(hashes: np.ndarray, owner: np.ndarray, place: np.ndarray, ids: np.ndar
             own = owner[part]
             run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
             who = own[run]
-            yield int(target[a]), kind, ids[who].tobytes(), ties[who].tobytes(), np.diff(np.append(run, len(own))).astype(np.uint32).tobytes(), _pack_places(place[part]), _pack(hashes[part], wide) if kind == _PLACED else b""
+            yield int(target[a]), kind, _pack_ids(ids[who]), ties[who].tobytes(), np.diff(np.append(run, len(own))).astype(np.uint32).tobytes(), _pack_places(place[part]), _pack(hashes[part], wide) if kind == _PLACED else b""
 
     yield from rows(_PLACED, np.flatnonzero(~known), frag[~known])
     at = np.flatnonzero(known)
@@ -97,7 +106,7 @@ def _repeated_here(hashes: np.ndarray, owner: np.ndarray, place: np.ndarray, ids
     return out
 
 
-def _meet(table: pa.Table, blocks: int, wide: bool) -> pa.Table:
+def _meet(table: pa.Table, blocks: int, wide: bool, buckets: int) -> pa.Table:
     """Of one fragment: places whose hash is at another place too and, where `blocks`, of which one is a block."""
     kinds = table.column("kind").to_pylist()
     ids, ties, counts, places, packed = (table.column(c).to_pylist() for c in _NAMES[2:])
@@ -106,7 +115,7 @@ def _meet(table: pa.Table, blocks: int, wide: bool) -> pa.Table:
     def gathered(kind: int):
         flat = lambda column, dtype: np.frombuffer(b"".join(column[i] for i in at[kind]), dtype)
         many = flat(counts, np.uint32)
-        return np.repeat(flat(ids, np.int64), many), np.repeat(flat(ties, np.int64), many), np.concatenate([_unpack_places(places[i]) for i in at[kind]] or [np.zeros(0, np.uint32)])
+        return np.repeat(np.concatenate([_unpack_ids(ids[i]) for i in at[kind]] or [np.zeros(0, np.int64)]), many), np.repeat(flat(ties, np.int64), many), np.concatenate([_unpack_places(places[i]) for i in at[kind]] or [np.zeros(0, np.uint32)])
 
     own, tie, place = gathered(_PLACED)
     hashes = np.concatenate([_unpack(packed[i], wide) for i in at[_PLACED]] or [np.zeros(0, np.uint64 if wide else np.uint32)])
@@ -127,7 +136,7 @@ def _meet(table: pa.Table, blocks: int, wide: bool) -> pa.Table:
         keep = met[run]
         own, tie, place = own[keep], tie[keep], place[keep]
     more = gathered(_KNOWN)
-    return rows_by_document(np.concatenate([own, more[0]]), np.concatenate([tie, more[1]]), np.concatenate([place, more[2]]).astype(np.uint32))
+    return packed_marks(np.concatenate([own, more[0]]), np.concatenate([tie, more[1]]), np.concatenate([place, more[2]]), buckets)
 
 
 def _emit(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +171,7 @@ def anchors(docs: DataFrame, block: int, fragments: int) -> DataFrame:
                 known = twice & np.isin(hashes, blocks)
                 yield from _emit(list(_deal(hashes, owner, place, ids[a:b], ties[a:b], fragments, known, False)))
 
-    return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, block, False), MARKS)
+    return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, block, False, fragments), PACKED_MARKS)
 
 
 def repeats(docs: DataFrame, window: int, block: int, fragments: int) -> DataFrame:
@@ -194,7 +203,7 @@ def repeats(docs: DataFrame, window: int, block: int, fragments: int) -> DataFra
                 known = _repeated_here(hashes, owner, place, ids[a:b], ties[a:b])
                 yield from _emit(list(_deal(hashes, owner, place, ids[a:b], ties[a:b], fragments, known, True)))
 
-    return docs.select("_id", "_tie", "_text", "_marks").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, True), MARKS)
+    return docs.select("_id", "_tie", "_text", "_marks").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, True, fragments), PACKED_MARKS)
 
 
 def _removed(docs: DataFrame, window: int, kept: list[str]) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import byte_values, prefix, span, windows
-from tracklore.llm._marks import MARKS, keyed, marks_of, with_marks
+from tracklore.llm._marks import PACKED_MARKS, keyed, marks_of, packed_marks, with_marks
 from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, texts_of
 from tracklore.llm.substring import _PACKED, _deal, _emit, _meet, _repeated_here
 
@@ -84,7 +84,7 @@ def repeated_tokens(docs: DataFrame, width: int, gram: int, fragments: int) -> D
                     known = _repeated_here(hashes, owner, place, ids[a:b], ties[a:b])
                     yield from _emit(list(_deal(hashes, owner, place, ids[a:b], ties[a:b], fragments, known, False)))
 
-    return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, False), MARKS)
+    return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, False, fragments), PACKED_MARKS)
 
 
 _CONTEXT = T.StructType([T.StructField("lead", T.BinaryType()), T.StructField("_id", T.LongType()), T.StructField("_tie", T.LongType()), T.StructField("place", T.LongType()), T.StructField("left", T.BinaryType()), T.StructField("right", T.BinaryType())])
@@ -165,23 +165,11 @@ def _common(characters: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.
     return out
 
 
-#: Later strings have _marks, by document; first strings that other buckets may have earlier have their hash and start.
-_FOUND = T.StructType([*(T.StructField(x, T.LongType()) for x in ("string", "_id", "_tie", "start")), T.StructField("_marks", T.BinaryType())])
+#: Later strings are packed marks; first strings that other buckets may have earlier have their hash and start.
+_FOUND = T.StructType([*(T.StructField(x, T.LongType()) for x in ("string", "_id", "_tie", "start")), T.StructField("bucket", T.IntegerType()), *(T.StructField(x, T.BinaryType()) for x in ("ids", "ties", "counts", "values"))])
 
 
-def _by_document(ids: np.ndarray, ties: np.ndarray, starts: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Runs of consecutive starts, as pairs (first start, how many) of uint32, gathered by document."""
-    if not len(ids):
-        return ids, ties, []
-    order = np.lexsort((starts, ties, ids))
-    ids, ties = ids[order], ties[order]
-    document = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (ties[1:] != ties[:-1]))))
-    raw = np.column_stack([starts[order], many[order]]).astype(np.uint32).tobytes()
-    cut = (np.append(document, len(ids)) * 8).tolist()
-    return ids[document], ties[document], [raw[a:b] for a, b in zip(cut, cut[1:])]
-
-
-def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int, gram: int) -> pa.Table | None:
+def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int, gram: int, groups: int) -> pa.Table | None:
     """Later strings of one sorted bucket and, of the tokens at its ends, first strings, to be compared with those of other
     buckets."""
     # Rows in the order of places: of two rows with one string, the one before is the first.
@@ -224,14 +212,15 @@ def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int
     start = np.flatnonzero(later & (change | np.concatenate(([True], ~later[:-1]))))
     stop = np.flatnonzero(later & np.append(change[1:] | ~later[1:], True))
     at = row[start]
-    by_document = _by_document(ids[at], ties[at], places[at] - offset[stop], stop - start + 1)
-    none, at = pa.nulls(len(by_document[0]), pa.int64()), row[opened]
-    made = [(none, string[opened].view(np.int64)), (by_document[0], ids[at]), (by_document[1], ties[at]), (none, places[at] - offset[opened])]
-    columns = [pa.chunked_array([pa.array(a, pa.int64()), pa.array(b, pa.int64())]) for a, b in made]
-    return pa.table([*columns, pa.chunked_array([pa.array(by_document[2], pa.binary()), pa.nulls(len(at), pa.binary())])], _FOUND.names)
+    packed = packed_marks(ids[at], ties[at], np.column_stack([places[at] - offset[stop], stop - start + 1]), groups)
+    many, at = packed.num_rows, row[opened]
+    firsts = [string[opened].view(np.int64), ids[at], ties[at], places[at] - offset[opened]]
+    columns = [pa.chunked_array([pa.nulls(many, pa.int64()), pa.array(x, pa.int64())]) for x in firsts]
+    columns += [pa.chunked_array([*packed.column(c).chunks, pa.nulls(len(at), packed.schema.field(c).type)], packed.schema.field(c).type) for c in packed.column_names]
+    return pa.table(columns, _FOUND.names)
 
 
-def sorted_buckets(suffixes: DataFrame, width: int, gram: int, buckets: int) -> DataFrame:
+def sorted_buckets(suffixes: DataFrame, width: int, gram: int, buckets: int, groups: int) -> DataFrame:
     """Rows of _FOUND from suffixes with their contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,15 +229,15 @@ def sorted_buckets(suffixes: DataFrame, width: int, gram: int, buckets: int) ->
             return
         whole = pa.Table.from_batches(parts)
         ids, ties, places = (whole.column(c).to_numpy() for c in ("_id", "_tie", "place"))
-        found = _bucket(ids, ties, places, whole.column("left").to_pylist(), whole.column("right").to_pylist(), width, gram)
+        found = _bucket(ids, ties, places, whole.column("left").to_pylist(), whole.column("right").to_pylist(), width, gram, groups)
         if found is not None:
             yield from found.combine_chunks().to_batches()
 
     return suffixes.repartitionByRange(buckets, "lead", "_id", "_tie", "place").mapInArrow(run, _FOUND)
 
 
-def _later(found: DataFrame) -> DataFrame:
-    """_id, _tie, _marks: runs of starts of strings that are not the first of their kind."""
+def _later(found: DataFrame, groups: int) -> DataFrame:
+    """Packed marks: runs (first start, how many) of strings that are not the first of their kind."""
     first = F.struct("_id", "_tie", "start")
     ends = found.filter("string IS NOT NULL")
     across = ends.groupBy("string").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
@@ -258,10 +247,9 @@ def _later(found: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 ids, ties, starts = (batch.column(i).to_numpy() for i in range(3))
-                ids, ties, marks = _by_document(ids, ties, starts, np.ones(len(ids), np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ties), pa.array(marks, pa.binary())], ["_id", "_tie", "_marks"])
+                yield from packed_marks(ids, ties, np.column_stack([starts, np.ones(len(ids), np.int64)]), groups).to_batches()
 
-    return found.filter("_marks IS NOT NULL").select("_id", "_tie", "_marks").union(opened.mapInArrow(run, MARKS))
+    return found.filter("bucket IS NOT NULL").select("bucket", "ids", "ties", "counts", "values").union(opened.mapInArrow(run, PACKED_MARKS))
 
 
 def _removed(docs: DataFrame, width: int, kept: list[str]) -> DataFrame:
@@ -304,14 +292,15 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
     _, size = text_bytes(docs, text)
     own = keyed(docs, key, text)
     texts = own.select("_id", "_tie", "_text")
-    hits = work.cut(repeated_tokens(texts, width, gram, max(1, -(-size // FRAGMENT))), "tokens")
+    groups = max(1, -(-size // FRAGMENT))
+    hits = work.cut(repeated_tokens(texts, width, gram, groups), "tokens")
     work.release()
     marked = with_marks(texts, hits).filter(F.col("_marks").isNotNull())
     suffixes = work.cut(contexts(marked, width, gram), "suffixes")
     work.drop("tokens")
     total = suffixes.count()
-    found = work.cut(sorted_buckets(suffixes, width, gram, max(1, -(-total * 2 * width // BUCKET))), "found")
+    found = work.cut(sorted_buckets(suffixes, width, gram, max(1, -(-total * 2 * width // BUCKET)), groups), "found")
     work.drop("suffixes")
-    starts = work.cut(_later(found), "later")
+    starts = work.cut(_later(found, groups), "later")
     work.drop("found")
-    return _removed(with_marks(own.select(*kept, "_id", "_tie", "_text"), starts), width, kept)
+    return _removed(with_marks(own.select(*kept, "_id", "_tie", "_text"), starts, 2), width, kept)
