@@ -150,8 +150,32 @@ def _pack(texts: list[bytes], n: int, fragments: int) -> Iterator[tuple]:
 _SHARED = T.StructType([T.StructField("set_id", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
 
-def _fragment_shared(table: pa.Table) -> pa.Table:
-    """Of one fragment: the keys that two sets or more have, by set."""
+#: Keys of many sets in one row for each bucket of sets, so that rows grow with tasks, not with sets.
+_BUCKETS = "bucket int, ids binary, sizes binary, counts binary, keys binary"
+
+
+def _by_set(own: np.ndarray, size: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted without repeats, and where each set begins."""
+    order = np.lexsort((keys, own))
+    own, size, keys = own[order], size[order], keys[order]
+    fresh = np.ones(len(own), bool)
+    fresh[1:] = (own[1:] != own[:-1]) | (keys[1:] != keys[:-1])
+    own, size, keys = own[fresh], size[fresh], keys[fresh]
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    return own, size, keys, np.flatnonzero(new)
+
+
+def _whole_sets(table: pa.Table) -> pa.Table:
+    """Of one bucket: a row for each set."""
+    own, size, counts, keys = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("ids", np.int64), ("sizes", np.uint32), ("counts", np.uint32), ("keys", np.int64)))
+    own, size, keys, run = _by_set(np.repeat(own, counts), np.repeat(size, counts), keys)
+    lists = pa.ListArray.from_arrays(pa.array(np.append(run, len(own)), pa.int32()), pa.array(keys, pa.int64()))
+    return pa.table([pa.array(own[run], pa.int64()), pa.array(size[run], pa.int32()), lists], _SHARED.names)
+
+
+def _fragment_shared(table: pa.Table, buckets: int) -> pa.Table:
+    """Of one fragment: the keys that two sets or more have, by bucket and set."""
     fragment, kinds = table.column("fragment")[0].as_py(), table.column("kind").to_pylist()
     columns = [table.column(c).to_pylist() for c in ("owners", "counts", "sizes", "grams")]
     at = {k: [i for i, x in enumerate(kinds) if x == k] for k in (_SINGLE, _SEEN, _KNOWN)}
@@ -179,13 +203,17 @@ def _fragment_shared(table: pa.Table) -> pa.Table:
     known, known_size = with_owners(_KNOWN)
     own, size = np.concatenate([own, known]), np.concatenate([size, known_size])
     keys = np.concatenate([_key(np.full(len(grams), fragment), grams), flat(_KNOWN, 3, np.int64)])
-    order = np.lexsort((keys, own))
-    own, size, keys = own[order], size[order], keys[order]
-    fresh = np.concatenate(([True], (own[1:] != own[:-1]) | (keys[1:] != keys[:-1]))) if len(own) else np.zeros(0, bool)
-    own, size, keys = own[fresh], size[fresh], keys[fresh]
-    run = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1]))) if len(own) else np.zeros(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(run, len(own)), pa.int32()), pa.array(keys, pa.int64()))
-    return pa.table([pa.array(own[run], pa.int64()), pa.array(size[run], pa.int32()), lists], _SHARED.names)
+    # Set ids are hashes; in their order as unsigned numbers, buckets are ranges.
+    own, size, keys, run = _by_set(own.view(np.uint64), size, keys)
+    bucket = _fragment(own[run], buckets)
+    counts = np.diff(np.append(run, len(own))).astype(np.uint32)
+    edge = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    rows = [[], [], [], [], []]
+    for a, b in zip(edge, [*edge[1:], len(run)]):
+        stop = run[b] if b < len(run) else len(own)
+        for column, x in zip(rows, (int(bucket[a]), own[run[a:b]].tobytes(), size[run[a:b]].astype(np.uint32).tobytes(), counts[a:b].tobytes(), keys[run[a] : stop].tobytes())):
+            column.append(x)
+    return pa.table([pa.array(c, t) for c, t in zip(rows, (pa.int32(), *[pa.binary()] * 4))], [x.split()[0] for x in _BUCKETS.split(", ")])
 
 
 def shared_ngrams(docs: DataFrame, n: int, fragments: int, text: str = "text") -> DataFrame:
@@ -201,8 +229,8 @@ def shared_ngrams(docs: DataFrame, n: int, fragments: int, text: str = "text") -
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types, strict=True)], [x.split()[0] for x in _PACKED.split(", ")])
 
-    found = docs.select(text).mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(_fragment_shared, _SHARED)
-    return found.groupBy("set_id").agg(F.max("n").alias("n"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("keys"))
+    found = docs.select(text).mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _fragment_shared(t, fragments), _BUCKETS)
+    return found.groupBy("bucket").applyInArrow(_whole_sets, _SHARED)
 
 
 def _enough(a: str, b: str, percent: int):
