@@ -142,5 +142,6 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
-    chain = toxicity.fit_chain(docs.join(labels, "doc_id"), ["poor", "toxic"])
+    sample = docs.join(F.broadcast(toxicity.bounded(labels, ["poor", "toxic"])), "doc_id")
+    chain = toxicity.fit_chain(sample, ["poor", "toxic"])
     return toxicity.score(docs, chain, ["poor", "toxic"])

@@ -126,6 +126,12 @@ def _margin(link: Link, rows: np.ndarray, hashes: np.ndarray, n: int, earlier: n
     return out
 
 
+def bounded(labels: DataFrame, categories: list[str], key: str = "doc_id") -> DataFrame:
+    """At most SAMPLE labelled rows, so small that they may be broadcast to their documents."""
+    good = labels.filter(F.forall(F.array(*(F.col(c).isNotNull() for c in categories)), lambda x: x))
+    return good.orderBy(F.xxhash64(key), *categories).limit(SAMPLE)
+
+
 def fit_chain(labelled: DataFrame, categories: list[str], key: str = "doc_id", text: str = "text") -> list[Link]:
     """The chain, in the order of the categories (columns of 0 and 1)."""
     bounded_batches(labelled.sparkSession)
