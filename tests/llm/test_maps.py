@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 
 from tests.llm.fixtures import documents, sample
 from tracklore.llm import bpe, chat, quality, queries
@@ -86,6 +87,23 @@ def test_quality_keeps_clean_labelled_documents(spark):
     assert out[out.good == 1].kept.mean() > 0.999
 
 
+def test_quality_rejects_junk_and_keeps_clean_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", F.col("quality").alias("good"))
+    docs = spark.read.parquet(f"{folder}/documents.parquet").join(labels.filter("doc_id % 2 != 0"), "doc_id")
+    out = quality.judge(quality.measure(docs, public_tokenizers.path("piece_bpe_32k.model"))).toPandas()
+    out = out[~out.base_failed]
+    for _, of_lang in out.groupby("lang"):
+        assert of_lang[of_lang.good == 0].kept.mean() < 0.15
+    assert out[out.good == 0].kept.mean() < 0.03
+    assert out[out.good == 1].kept.mean() > 0.995
+
+
+def test_quality_without_labelled_rows_has_no_floor(spark):
+    measured = spark.range(3).selectExpr("30L AS n_words", "0L AS n_repeat_words", "600L AS word_chars", "300L AS n_tokens", "0L AS n_byte_tokens", "5.0D AS entropy", "'Latin' AS script", "element_at(array('en', 'xx', NULL), cast(id + 1 AS int)) AS lang")
+    assert [(r.lang, r.kept) for r in quality.judge(measured).orderBy("lang").collect()] == [(None, True), ("en", False), ("xx", True)]
+
+
 TURNS = "conv_id long, turn long, role string, text string"
 
 

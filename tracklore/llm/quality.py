@@ -11,6 +11,10 @@ fertility a public vocabulary with byte fallback encodes each distinct word of a
 A text is rejected when a measure leaves the band of its language, or else of its script (BANDS). Entropy is bounded by
 the logarithm of the number of tokens, so its band counts only for texts of at least MIN_TOKENS tokens.
 
+Languages with labelled rows also have a floor for both measures together: the sum of entropy and characters per token
+may fall FLOOR spreads below what clean texts of as many tokens have (CURVES). Symbols after words, tables of navigation
+and words said many times over lower both, each by less than clean texts differ. Other languages have no such floor.
+
 Null text has no words: all counts are zero, base_failed is true. Repeated rows are judged alike; an unknown or null
 language takes the band of the script that most letters of the text have. Input columns with the names of results are
 replaced. An empty table gives an empty table."""
@@ -62,6 +66,20 @@ BANDS = {
     "Other": Band(0.20, 8.0, 1.00, 3.0, 12.5),
 }
 
+#: By language: the sum of entropy and characters per token of clean texts, as a polynomial of the logarithm of the number of
+#: tokens (up to LOG_TOKENS). Fitted on the documents of sf0.1 with an even id and quality 1 that pass the base rules.
+CURVES = {
+    "en": (-0.0350, 0.8679, 3.7843),
+    "de": (-0.0305, 0.7513, 4.3526),
+    "fr": (-0.0293, 0.7220, 4.2049),
+    "es": (-0.0362, 0.8758, 3.4333),
+}
+LOG_TOKENS = 12.5
+#: Variance around the curve: SPREAD[0] ** 2 + SPREAD[1] ** 2 / tokens, as in these rows by length.
+SPREAD = (0.05, 1.7)
+#: The quantile of 0.1 % of these rows.
+FLOOR = -3.39
+
 RESULTS = T.StructType(
     [T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_byte_tokens")]
     + [T.StructField("entropy", T.DoubleType()), T.StructField("script", T.StringType())]
@@ -190,6 +208,16 @@ def measure(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), *RESULTS]))
 
 
+def _above_floor(lang: str):
+    """Whether entropy and characters per token together are what texts of the language have; true for other languages."""
+    tokens = F.greatest(F.col("n_tokens"), F.lit(1))
+    size = F.least(F.log2(tokens), F.lit(LOG_TOKENS))
+    name = F.coalesce(F.col(lang).cast("string"), F.lit(""))
+    a, b, c = (F.try_element_at(F.create_map(*(x for key, curve in CURVES.items() for x in (F.lit(key), F.lit(curve[k])))), name) for k in range(3))
+    found = F.col("entropy") + F.col("word_chars") / tokens - ((a * size + b) * size + c)
+    return F.coalesce(found >= FLOOR * F.sqrt(SPREAD[0] ** 2 + SPREAD[1] ** 2 / tokens), F.lit(True))
+
+
 def judge(measured: DataFrame, lang: str = "lang", max_repeat: int = 30) -> DataFrame:
     """measured with base_failed and kept."""
     per = {}
@@ -205,4 +233,6 @@ def judge(measured: DataFrame, lang: str = "lang", max_repeat: int = 30) -> Data
         & (F.col("n_byte_tokens") <= per["bytes_high"] * F.col("n_tokens"))
         & ((F.col("n_tokens") < MIN_TOKENS) | spread)
     )
+    if lang in measured.columns:
+        good = good & _above_floor(lang)
     return measured.withColumns({"base_failed": base, "kept": ~base & good})
