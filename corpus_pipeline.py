@@ -23,10 +23,22 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links on five words and a similarity of 0.8 join: the one with the smallest id."""
-    marked = ngram_join.ngram_jaccard_join(docs.select("doc_id", "text"), n=5, percent=80)
-    stays = marked.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    return docs.join(stays, F.equal_null(docs.doc_id, stays.doc_id), "left_semi")
+    """One row of each group that links on five words and a similarity of 0.8 join: the one with the smallest id, null being
+    the largest, then the smallest hash of its columns. Rows without words are in no group and all stay."""
+    work = Work(spark, "near-duplicates")
+    # A hash skips nulls, so which columns are null is hashed too. Rows with one hash are alike and in one group.
+    row = F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
+    keyed = docs.withColumn("_row", row)
+    marked = ngram_join.ngram_jaccard_join(keyed.select("_row", "doc_id", "text"), n=5, percent=80, key="_row")
+    alike = marked.filter("n_shingles > 0").groupBy("component_id", "doc_id", "_row").agg(F.count(F.lit(1)).alias("copies"))
+    first = alike.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "copies")).alias("x"))
+    empty = marked.filter("n_shingles = 0").select("_row", F.lit(1).cast("long").alias("copies"))
+    stays = work.cut(first.select("x._row", "x.copies").union(empty), "stays")
+    out = keyed.join(stays.filter("copies = 1"), "_row", "left_semi")
+    repeated = stays.filter("copies > 1")
+    if not repeated.isEmpty():
+        out = out.union(keyed.join(repeated, "_row", "left_semi").select(*out.columns).dropDuplicates(["_row"]))
+    return out.select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -64,3 +64,28 @@ def test_odd_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() >= 0
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    t, u = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    near, other = t + " end", " ".join(f"z{i}" for i in range(60))
+
+    def stay(*rows):
+        out = corpus_pipeline.near_duplicates(spark, documents(spark, rows), SF)
+        assert out.columns == documents(spark, []).columns
+        return sorted(((r.doc_id, r.text) for r in out.collect()), key=repr)
+
+    assert stay((3, t), (3, t)) == [(3, t)]
+    assert stay((None, t), (None, t), (5, t)) == [(5, t)]
+    assert stay((3, t), (7, t), (7, u)) == [(3, t), (7, u)]
+    assert stay((None, t), (None, near), (None, u)) in ([(None, u), (None, t)], [(None, u), (None, near)])
+    assert stay((4, t, "a"), (4, t, "b"), (4, t, "a"), (4, near), (2, other), (2, other)) in ([(2, other), (4, t)], [(2, other), (4, near)])
+    assert stay((1, None), (1, None), (None, ""), (None, ""), (2, " ")) == sorted([(1, None), (1, None), (None, ""), (None, ""), (2, " ")], key=repr)
+
+
+def test_a_repeated_row_is_mixed_once(spark):
+    t = " ".join(f"w{i}" for i in range(60))
+    docs = documents(spark, [(3, t), (3, t), (None, t), (None, t), (9, t)])
+    for stage in (corpus_pipeline.near_duplicates, corpus_pipeline.repeated_passages, corpus_pipeline.source_mixing):
+        docs = stage(spark, docs, SF)
+    assert [(r.doc_id, r.text) for r in docs.collect()] == [(3, t)]
