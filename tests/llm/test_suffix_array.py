@@ -1,6 +1,8 @@
 """Removal of repeated byte strings against brute force."""
 
+import ast
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -56,6 +58,55 @@ def test_a_token_over_many_buckets(spark, monkeypatch):
     assert _got(documents(spark, rows), 100, 32) == _brute(rows, 100)
 
 
+def _shared_left(rng, width):
+    """Copies of a passage in two groups: those of a group have the same bytes left of it, so other tokens are chosen there."""
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, lefts = word(2 * width), [word(width) for _ in range(2)]
+    return [(i, word(rng.randrange(20)) + lefts[i % 8 // 4] + passage[rng.randrange(20) :] + word(rng.randrange(20))) for i in range(16)]
+
+
+def test_groups_that_share_left_contexts_at_every_cut():
+    from tracklore.llm.suffix_array import _bucket, _sampled
+
+    width, gram = 40, 16
+    for seed in range(30):
+        rows = _shared_left(random.Random(seed), width)
+        texts = [t.encode() for _, t in rows]
+        owner, place, _ = _sampled(texts, width, gram)
+        found = [(texts[d][p : p + gram], d, p) for d, p in zip(owner.tolist(), place.tolist())]
+        many = Counter(x[0] for x in found)
+        found = sorted(x for x in found if many[x[0]] > 1)
+        want = [x[2] for x in sorted(map(ast.literal_eval, _brute(rows, width)))]
+        for cut in range(1, len(found), 3):
+            cover, firsts = [np.zeros(len(t), bool) for t in texts], {}
+            for part in (found[:cut], found[cut:]):
+                ids, places = (np.array([x[k] for x in part], np.int64) for k in (1, 2))
+                left = [texts[d][max(0, p - width + gram) : p] for _, d, p in part]
+                right = [texts[d][p : p + width] for _, d, p in part]
+                table = _bucket(ids, np.zeros(len(part), np.int64), places, left, right, width, gram, 1)
+                for r in table.to_pylist() if table else []:
+                    if r["string"] is not None:
+                        firsts.setdefault(r["string"], []).append((r["_id"], r["start"]))
+                        continue
+                    counts = np.frombuffer(r["counts"], np.uint32)
+                    for d, (a, k) in zip(np.repeat(np.frombuffer(r["ids"], np.int64), counts), np.frombuffer(r["values"], np.uint32).reshape(-1, 2)):
+                        cover[d][a : a + k - 1 + width] = True
+            for places in firsts.values():
+                for d, a in set(places) - {min(places)}:
+                    cover[d][a : a + width] = True
+            assert [int(x.sum()) for x in cover] == want, (seed, cut)
+
+
+@pytest.mark.parametrize("size", [2_000, 4_000])
+def test_groups_that_share_left_contexts_in_small_buckets(spark, monkeypatch, size):
+    from tracklore.llm import suffix_array
+
+    monkeypatch.setattr(suffix_array, "BUCKET", size)
+    rng = random.Random(size)
+    rows = [(100 * k + i, t) for k in range(6) for i, t in _shared_left(rng, 100)]
+    assert _got(documents(spark, rows), 100, 32) == _brute(rows, 100)
+
+
 def test_kept_text_has_whole_characters(spark):
     rows = [(1, "x" + "é" * 60 + "y"), (2, "ü" + "é" * 60 + "z")]
     for r in remove_repeats(documents(spark, rows), 100).collect():

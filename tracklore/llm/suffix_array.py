@@ -201,12 +201,15 @@ def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int
     string = span(sums, begin, begin + width)
     order = np.argsort(string)
     run = np.flatnonzero(np.concatenate(([True], string[order[1:]] != string[order[:-1]])))
+    leads = np.minimum.reduceat(order, run)
     lead = np.zeros(len(row), np.int64)
-    lead[order] = np.repeat(np.minimum.reduceat(order, run), np.diff(np.append(run, len(row))))
+    lead[order] = np.repeat(leads, np.diff(np.append(run, len(row))))
     # Flat places are in the order of rows, so the least of a run is the first string; a string may be there by two suffixes.
     first, other = row[lead], (places[row] - offset) != (places[row[lead]] - offset[lead])
     later = other | (ids[row] != ids[first]) | (ties[row] != ties[first])
-    opened = (lead == np.arange(len(row))) & ends[row]
+    # The first row of a string may offer it by a token inside the bucket, another row by one at its ends.
+    opened = np.zeros(len(row), bool)
+    opened[leads] = np.logical_or.reduceat(ends[row][order], run)
     # Offsets of a row ascend, so a run of later strings begins at its last offset.
     change = np.concatenate(([True], row[1:] != row[:-1]))
     start = np.flatnonzero(later & (change | np.concatenate(([True], ~later[:-1]))))
