@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from tests.llm.fixtures import documents, sample
+from tracklore.llm import queries
 from tracklore.llm.substring import remove_repeats
 
 
@@ -48,3 +49,18 @@ def test_empty_table_and_clashing_names(spark):
     docs = documents(spark, [(1, "a b"), (2, "a b")]).withColumnRenamed("source", "n_words").withColumnRenamed("lang", "fragment")
     assert remove_repeats(docs.limit(0)).count() == 0
     assert {(r.n_words, r.n_removed, r.fragment) for r in remove_repeats(docs).collect()} == {(2, 0, "en")}
+
+
+def test_repeated_rows_of_the_query_equal_its_sql(spark, tmp_path):
+    import duckdb
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 80), ("b", 35), ("c", 34)))
+    rows = [(3, a), (3, a), (5, b), (5, b), (5, b), (7, c), (7, c), (8, "x " + a + " y"), (9, None), (9, None), (10, "z " * 30)]
+    docs = documents(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = [tuple(r) for r in queries.QUERIES["op2_substring_dedup"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(duck.sql(queries.ORACLES["op2_substring_dedup"]).fetchall())
+    out = remove_repeats(documents(spark, [(None, a), (None, a), (1, c)]), 35, apart=True).collect()
+    assert sorted((r.n_words, r.n_removed, r.kept_text) for r in out) == [(34, 0, c), (80, 80, ""), (80, 80, "")]

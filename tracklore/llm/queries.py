@@ -79,7 +79,7 @@ FROM s LEFT JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) m ON s.doc_id = m.x
 @_query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring.remove_repeats(docs, window=35).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return substring.remove_repeats(docs, window=35, apart=True).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 ORACLES["op2_substring_dedup"] = """

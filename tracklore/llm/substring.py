@@ -12,7 +12,8 @@ its document. These blocks are the index; every rolling window of BLOCK words, i
 
 Repeats are judged on the input. Hashes of windows have 64 bits; of blocks, which only choose candidates, 32 and
 the fragment are compared. Null text has no words;
-documents of fewer than `window` words lose nothing. See _marks for repeated rows and null ids. Other columns pass
+documents of fewer than `window` words lose nothing. See _marks for repeated rows and null ids; with `apart`, each row is a
+document of its own, so that rows alike in id and text lose all words of each. Other columns pass
 unchanged, those named like results are replaced. An empty table gives an empty table."""
 
 from __future__ import annotations
@@ -224,7 +225,23 @@ def _removed(docs: DataFrame, window: int, kept: list[str]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _copies(texts: DataFrame, window: int, buckets: int) -> DataFrame:
+    """Packed marks over all words of keyed docs that several rows are."""
+    several = texts.groupBy("_id", "_tie").count().filter("count > 1").select("_id", "_tie")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = [len(x.split()) - window for x in texts_of(batch.column(2))]
+            starts = [np.append(np.arange(0, n, window), n) if n >= 0 else np.zeros(0, np.int64) for n in counts]
+            many = [len(x) for x in starts]
+            if sum(many):
+                ids, ties = (np.repeat(batch.column(k).to_numpy(), many) for k in (0, 1))
+                yield from packed_marks(ids, ties, np.concatenate(starts), buckets).to_batches()
+
+    return texts.join(several, ["_id", "_tie"], "left_semi").dropDuplicates(["_id", "_tie"]).select("_id", "_tie", "_text").mapInArrow(run, PACKED_MARKS)
+
+
+def remove_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text: str = "text", apart: bool = False) -> DataFrame:
     """docs, without the text, with n_words, n_removed and kept_text (kept words joined by single spaces)."""
     spark = docs.sparkSession
     work = Work(spark, "substring")
@@ -240,4 +257,6 @@ def remove_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text:
     candidates = with_marks(texts, hits).filter(F.col("_marks").isNotNull())
     starts = work.cut(repeats(candidates, window, block, fragments), "repeats")
     work.drop("anchors")
+    if apart and not texts.groupBy("_id", "_tie").count().filter("count > 1").isEmpty():
+        starts = starts.union(work.cut(_copies(texts, window, fragments), "copies"))
     return _removed(with_marks(own.select(*kept, "_id", "_tie", "_text"), starts), window, kept)
