@@ -47,6 +47,16 @@ def test_bpe_empty_table_and_clashing_names(spark):
     assert len(bpe.encode(docs, RANKS, PATTERN).first().ids) % 4 == 0
 
 
+def test_bpe_decodes_a_long_text():
+    coder = bpe.codec(RANKS, PATTERN)
+    piece = next(x for x in coder.ranks if len(x) == 5)
+    ids = np.full(6_000_000, coder.ranks[piece], "<u4")
+    ids[499_999:500_001] = coder.ranks[b"a"], coder.ranks[b"b"]
+    short = np.array([coder.ranks[b"c"]], "<u4").tobytes()
+    want = piece * 499_999 + b"ab" + piece * (6_000_000 - 500_001)
+    assert coder.decode([short, ids.tobytes(), b"", short]) == [b"c", want, b"", b"c"]
+
+
 def _brute_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]

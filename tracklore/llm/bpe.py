@@ -55,6 +55,8 @@ GROUP BY w ORDER BY w
 """
 #: Rows are sorted before they are aggregated: on one thread the order holds, at a fifth of the cost of an ORDER BY inside.
 DECODE = "SELECT d, string_agg(piece, '') FROM (SELECT d, piece FROM ids JOIN vocab USING (id) ORDER BY pos) GROUP BY d"
+#: Most ids that are decoded at once.
+SLICE = 500_000
 
 
 class Codec:
@@ -211,7 +213,16 @@ class Codec:
         return out
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        """The bytes that each sequence of packed ids stands for; ids outside the vocabulary stand for nothing."""
+        """The bytes that each sequence of packed ids stands for; ids outside the vocabulary stand for nothing. A long
+        sequence is decoded in slices, which stay within the database's memory."""
+        slices = [(i, x[a : a + 4 * SLICE]) for i, x in enumerate(ids) for a in range(0, len(x), 4 * SLICE)]
+        out = [[] for _ in ids]
+        for start, stop in groups_of([x for _, x in slices], 4 * SLICE):
+            for (i, _), piece in zip(slices[start:stop], self._decoded([x for _, x in slices[start:stop]]), strict=True):
+                out[i].append(piece)
+        return [b"".join(x) for x in out]
+
+    def _decoded(self, ids: list[bytes]) -> list[bytes]:
         self._need("vocab")
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         self._table("ids", {"d": np.repeat(np.arange(len(ids), dtype=np.int32), sizes), "pos": np.arange(sizes.sum(), dtype=np.int32), "id": np.frombuffer(b"".join(ids), np.uint32).astype(np.int32)})
