@@ -191,3 +191,11 @@ def test_edits():
     assert edits.apply_edit("  x  ", "x  ", "y") == "  y"
     assert edits.blocks("a\n\n```\nb\n\nc\n```\n\nd") == ["a", "```\nb\n\nc\n```", "d"]
     assert edits.syntax_error("x = 1") is None and edits.syntax_error("x = ") is not None
+
+
+def test_markdown_blocks_counts_documents_with_fences_and_blank_lines(spark, tmp_path):
+    from tracklore.plans import registry
+
+    rows = [(1, "a\n\n```\nb\n\nc\n```\n\nd"), (2, "a\n\nb"), (3, "a. b"), (4, "```\na. b\n```")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(tuple(r) for r in registry.QUERIES["markdown_blocks"](spark, str(tmp_path)).collect()) == [(1, 3), (2, 2), (3, 2), (4, 1)]
