@@ -1,11 +1,12 @@
-"""Tables in the shared folder that cut lineage, and Arrow batches of bounded size."""
+"""Tables in the shared folder that cut lineage, Arrow batches of bounded size, and what a Python worker keeps."""
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,9 +17,11 @@ SPACES = b" \t\n\x0b\x0c\r"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where none is set, as in local tests."""
+    """The folder that driver and executors share; one of our own only where none is set and all run in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='tracklore-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -49,10 +52,43 @@ class Work:
         self.spark._jvm.System.gc()
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000, size: str = "4m") -> None:
-    """Arrow batches of texts: at most so many rows and about so many bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+#: Arrow batches of every operator here: at most so many rows and about so many bytes. All set the same, since a lazy
+#: DataFrame runs under what the session has by then.
+LIMITS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    for key, value in LIMITS.items():
+        spark.conf.set(key, value)
+
+
+def bounded(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """df.mapInArrow in batches within LIMITS."""
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]):
+    """What an operator keeps in a Python worker between tasks. Workers serve one operator after the other, so what
+    another operator has left there goes first."""
+    if key not in _held:
+        trimmed()
+        _held[key] = make()
+    return _held[key]
+
+
+def trimmed() -> None:
+    """Frees what this worker keeps, and gives memory back to the system."""
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # other C libraries have no such call
+        pass
 
 
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import IS_SPACE, Words, windows
-from tracklore.llm._work import bounded_batches, groups_of, texts_of
+from tracklore.llm._work import bounded, groups_of, held, texts_of
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -109,9 +109,6 @@ class Fertility:
         return np.frombuffer(b"".join(found), np.uint16), np.fromiter(map(len, found), np.int64, len(found)) // 2
 
 
-_fertility: dict[str, Fertility] = {}
-
-
 def _sums(values: np.ndarray, cut: np.ndarray) -> np.ndarray:
     """Sum of values[cut[i]:cut[i + 1]] for each i."""
     total = np.concatenate(([0], np.cumsum(values)))
@@ -190,22 +187,20 @@ def _measures(texts: list[bytes], fertility: Fertility) -> list:
 
 def measure(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """docs with the columns of RESULTS."""
-    bounded_batches(docs.sparkSession)
     names = RESULTS.fieldNames()
     kept = [c for c in docs.columns if c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if vocabulary not in _fertility:
-            _fertility[vocabulary] = Fertility(vocabulary)
+        fertility = held(("fertility", vocabulary), lambda: Fertility(vocabulary))
         for batch in batches:
             texts = texts_of(batch.column(text))
             for start, stop in groups_of(texts, 1_000_000):
-                found = _measures(texts[start:stop], _fertility[vocabulary])
+                found = _measures(texts[start:stop], fertility)
                 part = batch.slice(start, stop - start)
                 types = [pa.int64()] * 7 + [pa.float64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *map(pa.array, found, types)], [*kept, *names])
 
-    return docs.mapInArrow(run, T.StructType([*(docs.schema[c] for c in kept), *RESULTS]))
+    return bounded(docs, run, T.StructType([*(docs.schema[c] for c in kept), *RESULTS]))
 
 
 def _above_floor(lang: str):

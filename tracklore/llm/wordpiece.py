@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import Words
-from tracklore.llm._work import bounded_batches, groups_of, texts_of
+from tracklore.llm._work import bounded, groups_of, held, texts_of
 
 KEPT = 150_000
 START, INSIDE = 0, 1
@@ -91,24 +91,14 @@ def pieces_of(path: str, mark: str = "▁") -> tuple[list[str], list[str]]:
     return [p[1:] for p in plain if p.startswith(mark) and mark not in p[1:]], [p for p in plain if mark not in p]
 
 
-_automata: dict[str, tuple[Automaton, dict[bytes, int]]] = {}
-
-
-def _of(path: str) -> tuple[Automaton, dict[bytes, int]]:
-    if path not in _automata:
-        _automata[path] = Automaton(*pieces_of(path)), {}
-    return _automata[path]
-
-
 def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs, without the text, with n_words, n_tokens (an unknown word is one) and n_unknown."""
-    bounded_batches(docs.sparkSession)
     results = ("n_words", "n_tokens", "n_unknown")
     kept = [c for c in docs.columns if c not in (*results, text)]
     schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(r, T.LongType()) for r in results)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, known = _of(path)
+        automaton, known = held(("pieces", path), lambda: (Automaton(*pieces_of(path)), {}))
         for batch in batches:
             texts = texts_of(batch.column(text))
             for a, b in groups_of(texts, 1_000_000):
@@ -128,4 +118,4 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *(pa.array(x, pa.int64()) for x in made)], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return bounded(docs, run, schema)
