@@ -56,9 +56,9 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, ids, and whether the ids decode to the text."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), ranks, pattern), ranks, pattern)
-    whole = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return both.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    both = bpe.round_trip(docs.select("doc_id", "source", "text", digest.alias("digest")), ranks, pattern)
+    return both.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("digest")).alias("round_trip"))
 
 
 STAGES = [

@@ -57,6 +57,34 @@ def test_bpe_decodes_a_long_text():
     assert coder.decode([short, ids.tobytes(), b"", short]) == [b"c", want, b"", b"c"]
 
 
+def test_bpe_of_long_words_and_texts_equals_tiktoken():
+    """Words of 500 letters without spaces, of few letters and many, and long texts whose slices have to begin where a word does."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice(letters) for _ in range(500)) for letters in ("ACGT", "abcdefghijklmnopqrstuvwxyz", "0123456789abcdef", "ไทยกข", "漢字かな交じり") for _ in range(60)]
+    texts = [" ".join(words), "".join(words), "=" * 20_000 + "a" * 30_001 + "--" * 777, "'s 's'll'LL''re x'S\n's\t'm \n\n 've"]
+    prose = " ".join(t for _, t in sample())
+    texts += [(prose + "’'s  ") * (2_500_000 // len(prose) + 1), "漢字、" * 500_000]
+    coder, encoder = bpe.codec(RANKS, PATTERN), _tiktoken()
+    ids = coder.encode([t.encode() for t in texts])
+    for text, x in zip(texts, ids, strict=True):
+        assert np.frombuffer(x, "<u4").tolist() == encoder.encode_ordinary(text)
+    assert coder.decode(ids) == [t.encode() for t in texts]
+
+
+def test_bpe_rounds_over_arrays_equal_the_query():
+    rng = random.Random(6)
+    coder = bpe.codec(RANKS, PATTERN)
+    words = [bytes(rng.choice(b"aab-= the") for _ in range(rng.randrange(1, 300))) for _ in range(50)] + [b"-" * 97, b"0" * 50]
+    want = [np.frombuffer(x, "<u4").tolist() for x in coder._contract(words)]
+    assert [coder._rounds(w).tolist() for w in words] == want
+    assert [np.frombuffer(x, "<u4").tolist() for x in coder._contract(words, True)] == want
+
+
+def test_bpe_with_another_pattern(spark):
+    docs = documents(spark, [(1, "one two  three")])
+    assert len(bpe.encode(docs, RANKS, r"\S+|\s+").first().ids) > 0
+
+
 def _brute_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]

@@ -27,8 +27,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    both = bpe.decode(bpe.encode(docs, ranks, pattern).drop("text"), ranks, pattern)
-    return both.select(
+    return bpe.round_trip(docs, ranks, pattern).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
