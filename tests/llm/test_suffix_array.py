@@ -82,11 +82,14 @@ def test_groups_that_share_left_contexts_at_every_cut():
             for part in (found[:cut], found[cut:]):
                 ids, places = (np.array([x[k] for x in part], np.int64) for k in (1, 2))
                 left = [texts[d][max(0, p - width + gram) : p] for _, d, p in part]
-                right = [texts[d][p : p + width] for _, d, p in part]
-                table = _bucket(ids, np.zeros(len(part), np.int64), places, left, right, width, gram, 1)
-                for r in table.to_pylist() if table else []:
-                    if r["string"] is not None:
-                        firsts.setdefault(r["string"], []).append((r["_id"], r["start"]))
+                whole = [x + texts[d][p : p + width] for x, (_, d, p) in zip(left, part)]
+                offsets = np.append(0, np.cumsum([len(x) for x in whole]))
+                data = np.frombuffer(b"".join(whole), np.uint8)
+                tables = _bucket(ids, np.zeros(len(part), np.int64), places, data, offsets, np.array([len(x) for x in left]), width, gram, 1)
+                for r in [r for table in tables for r in table.to_pylist()]:
+                    if r["strings"] is not None:
+                        for string, (d, _, start) in zip(np.frombuffer(r["strings"], np.uint64).tolist(), np.frombuffer(r["firsts"], np.int64).reshape(-1, 3).tolist()):
+                            firsts.setdefault(string, []).append((d, start))
                         continue
                     counts = np.frombuffer(r["counts"], np.uint32)
                     for d, (a, k) in zip(np.repeat(np.frombuffer(r["ids"], np.int64), counts), np.frombuffer(r["values"], np.uint32).reshape(-1, 2)):
@@ -113,6 +116,13 @@ def test_kept_text_has_whole_characters(spark):
         r.kept_text.encode()
 
 
+@pytest.mark.parametrize(("width", "gram"), [(16, 8), (24, 8)])
+def test_strings_that_end_in_zero_bytes(spark, width, gram):
+    rng = random.Random(9)
+    rows = [(i, "".join(rng.choice("a\0\0\0") for _ in range(rng.randrange(60)))) for i in range(80)]
+    assert _got(documents(spark, rows), width, gram) == _brute(rows, width)
+
+
 def test_rows_that_repeat_all(spark):
     rows = [(3, "x " * 50)] * 2
     assert _got(documents(spark, rows), 100, 32) == _brute(rows, 100)

@@ -9,10 +9,12 @@ whose leading token (GRAM bytes) has the least hash. Equal strings choose the sa
 2. The suffixes left carry `width` bytes to either side. Spark samples splitters and range-partitions them by leading
    token, then place, so that a token at very many places fills several neighbouring buckets.
 3. A bucket is sorted by a multikey quicksort on eight-byte characters: a round sorts the ties of the round before by the
-   next character. Common prefixes of neighbours, and of the reversed left sides sorted alike, bound which strings around
-   a suffix can repeat; strings of one token with the same offset and bytes are one group, whose first stays.
+   next character. So are the reversed left sides, within a token. The common prefixes of neighbours in both orders decide
+   which strings are alike: a string of `width` bytes that begins `o` bytes before its suffix is that of another suffix if
+   the two have `width - o` bytes in common in the one order and `o` in the other. Of suffixes alike on both sides as a
+   whole, all strings but the first one's are later; the others are compared offset by offset.
 4. The tokens at a bucket's ends may go on in the next bucket. Their strings, with the bucket's first place each, are
-   compared across boundaries by one more aggregation.
+   compared across boundaries in fragments of the strings' 64-bit hashes.
 5. Documents, joined with the starts of their later strings, lose the bytes that these cover.
 
 Null text is empty. Documents of fewer than `width` bytes lose nothing. See _marks for repeated rows and null ids. Other
@@ -28,16 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklore.llm._hash import byte_values, prefix, span, windows
+from tracklore.llm._hash import byte_values, windows
 from tracklore.llm._marks import PACKED_MARKS, keyed, marks_of, packed_marks, with_marks
-from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, texts_of
+from tracklore.llm._work import Work, bounded, bounded_batches, groups_of, held, text_bytes, texts_of
 from tracklore.llm.substring import _PACKED, _deal, _emit, _meet, _repeated_here
 
 FRAGMENT = 16_000_000
 BUFFER = 1_000_000
 GRAM = 32
 #: Bytes of contexts in one bucket.
-BUCKET = 6_000_000
+BUCKET = 10_000_000
 
 
 def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
@@ -75,6 +77,7 @@ def repeated_tokens(docs: DataFrame, width: int, gram: int, fragments: int) -> D
     """_id, _tie, _marks: starts (uint32, by byte) of chosen suffixes of keyed docs whose token is at two places or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("suffixes", object)
         for batch in batches:
             ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             texts = texts_of(batch.column(2))
@@ -87,28 +90,38 @@ def repeated_tokens(docs: DataFrame, width: int, gram: int, fragments: int) -> D
     return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, False, fragments), PACKED_MARKS)
 
 
-_CONTEXT = T.StructType([T.StructField("lead", T.BinaryType()), T.StructField("_id", T.LongType()), T.StructField("_tie", T.LongType()), T.StructField("place", T.LongType()), T.StructField("left", T.BinaryType()), T.StructField("right", T.BinaryType())])
+#: A suffix with its place, and up to width - gram bytes to its left and width bytes from its start; `left` tells these apart.
+_CONTEXT = T.StructType([T.StructField("_id", T.LongType()), T.StructField("_tie", T.LongType()), T.StructField("place", T.LongType()), T.StructField("left", T.IntegerType()), T.StructField("context", T.BinaryType())])
+#: Rows of contexts that are cut out, or laid out for sorting, at once.
+ROWS_AT_ONCE = 20_000
 
 
 def contexts(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """One row for each marked suffix of keyed docs: its leading token, place, and what is left and right of it."""
+    """A row of _CONTEXT for each marked suffix of keyed docs."""
+
+    def cut(buffer: np.ndarray, first: np.ndarray, size: np.ndarray, owner: np.ndarray, place: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> pa.RecordBatch:
+        left = np.minimum(place, width - gram)
+        length = left + np.minimum(size[owner] - place, width)
+        stop = np.cumsum(length)
+        data = buffer[np.arange(stop[-1]) + np.repeat(first[owner] + place - left - (stop - length), length)]
+        offsets = np.append(0, stop).astype(np.int32)
+        context = pa.Array.from_buffers(pa.binary(), len(place), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays([pa.array(ids[owner]), pa.array(ties[owner]), pa.array(place), pa.array(left.astype(np.int32)), context], _CONTEXT.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("suffixes", object)
         for batch in batches:
-            rows = ([], [], [], [], [], [])
-            for i, t, text, spots in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts_of(batch.column(2)), marks_of(batch.column(3), np.uint32), strict=True):
-                for p in np.unique(spots).tolist():
-                    right = text[p : p + width]
-                    for column, x in zip(rows, (right[:gram], i, t, p, text[max(0, p - width + gram) : p], right)):
-                        column.append(x)
-                    if len(rows[0]) >= 20_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], _CONTEXT.names)
-                        rows = ([], [], [], [], [], [])
-            if rows[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], _CONTEXT.names)
-
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return docs.select("_id", "_tie", "_text", "_marks").mapInArrow(run, _CONTEXT)
+            ids, ties, texts = batch.column(0).to_numpy(), batch.column(1).to_numpy(), texts_of(batch.column(2))
+            marks = [np.unique(x) for x in marks_of(batch.column(3), np.uint32)]
+            for a, b in groups_of(texts, BUFFER):
+                size = np.fromiter(map(len, texts[a:b]), np.int64, b - a)
+                buffer, first = np.frombuffer(b"".join(texts[a:b]), np.uint8), np.cumsum(size) - size
+                place = np.concatenate(marks[a:b]).astype(np.int64)
+                owner = np.repeat(np.arange(b - a), [len(x) for x in marks[a:b]])
+                for k in range(0, len(place), ROWS_AT_ONCE):
+                    yield cut(buffer, first, size, owner[k : k + ROWS_AT_ONCE], place[k : k + ROWS_AT_ONCE], ids[a:b], ties[a:b])
+
+    return bounded(docs.select("_id", "_tie", "_text", "_marks"), run, _CONTEXT)
 
 
 def multikey_order(characters: np.ndarray, groups: np.ndarray | None = None) -> np.ndarray:
@@ -142,117 +155,178 @@ def multikey_order(characters: np.ndarray, groups: np.ndarray | None = None) ->
     return order
 
 
-def _characters(strings: list[bytes], width: int) -> np.ndarray:
-    """Strings padded with zero bytes as big-endian eight-byte characters."""
-    width = -(-width // 8) * 8
-    data = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in strings), ">u8")
-    return data.reshape(len(strings), width // 8)
+def _characters(data: np.ndarray, start: np.ndarray, step: int, sizes: np.ndarray, width: int) -> np.ndarray:
+    """Strings data[start::step] of these sizes, padded with zero bytes, as big-endian eight-byte characters; the size is the
+    last, so that of strings that differ by zero bytes at their ends the shorter comes first."""
+    bytes_of = np.arange(-(-width // 8) * 8)
+    out = np.zeros((len(start), len(bytes_of) // 8 + 1), ">u8")
+    for a in range(0, len(start), ROWS_AT_ONCE):
+        here = slice(a, a + ROWS_AT_ONCE)
+        inside = bytes_of < sizes[here, None]
+        some = np.where(inside, data[np.where(inside, start[here, None] + step * bytes_of, 0)], 0).astype(np.uint8)
+        out[here, :-1] = some.view(">u8")
+    out[:, -1] = sizes
+    return out
+
+
+def _shared(characters: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each row in the order, the longest common prefix in bytes with the row before it; -1 for the first."""
+    out = np.full(len(order), -1, np.int64)
+    for a in range(1, len(order), ROWS_AT_ONCE):
+        b = min(len(order), a + ROWS_AT_ONCE)
+        one, two = (np.ascontiguousarray(characters[order[x:y], :-1]).view(np.uint8) for x, y in ((a - 1, b - 1), (a, b)))
+        differ = one != two
+        length = np.where(differ.any(1), differ.argmax(1), differ.shape[1])
+        out[a:b] = np.minimum(length, np.minimum(sizes[order[a - 1 : b - 1]], sizes[order[a:b]]))
+    return out
 
 
-def _common(characters: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """For each row, the longest common prefix in bytes with either neighbour in the order."""
-    n = len(order)
-    out = np.zeros(n, np.int64)
-    if n < 2:
+class Sorted:
+    """Strings in suffix order. Rows that have `depth` bytes in common lie next to each other there, and no longest common
+    prefix between them is shorter; so ranks() tells which rows are alike to any depth without looking at bytes again."""
+
+    def __init__(self, characters: np.ndarray, sizes: np.ndarray, groups: np.ndarray | None = None):
+        self.order = multikey_order(characters, groups)
+        self.shared = _shared(characters, sizes, self.order)
+        if groups is not None:
+            grouped = groups[self.order]
+            self.shared[1:][grouped[1:] != grouped[:-1]] = -1
+        #: The longest prefix in common with any other row.
+        self.reach = np.empty(len(sizes), np.int64)
+        self.reach[self.order] = np.maximum(self.shared, np.append(self.shared[1:], -1))
+        whole = sizes[self.order]
+        self._same = np.append(False, (self.shared[1:] == whole[1:]) & (whole[1:] == whole[:-1]))
+
+    def _ranked(self, fresh: np.ndarray) -> np.ndarray:
+        out = np.empty(len(self.order), np.int64)
+        out[self.order] = np.cumsum(fresh)
         return out
-    data = characters.view(np.uint8).reshape(n, -1)
-    a, b = data[order[:-1]], data[order[1:]]
-    differ = a != b
-    length = np.where(differ.any(1), differ.argmax(1), data.shape[1])
-    length = np.minimum(length, np.minimum(sizes[order[:-1]], sizes[order[1:]]))
-    out[order[:-1]] = length
-    out[order[1:]] = np.maximum(out[order[1:]], length)
-    return out
 
+    def ranks(self, depth: int) -> np.ndarray:
+        """Rows of at least `depth` bytes have one rank if these are alike."""
+        return self._ranked(self.shared < depth)
 
-#: Later strings are packed marks; first strings that other buckets may have earlier have their hash and start.
-_FOUND = T.StructType([*(T.StructField(x, T.LongType()) for x in ("string", "_id", "_tie", "start")), T.StructField("bucket", T.IntegerType()), *(T.StructField(x, T.BinaryType()) for x in ("ids", "ties", "counts", "values"))])
+    def wholes(self) -> np.ndarray:
+        """Rows have one rank if they are alike as a whole."""
+        return self._ranked(~self._same)
 
 
-def _bucket(ids, ties, places, left: list[bytes], right: list[bytes], width: int, gram: int, groups: int) -> pa.Table | None:
-    """Later strings of one sorted bucket and, of the tokens at its ends, first strings, to be compared with those of other
-    buckets."""
-    # Rows in the order of places: of two rows with one string, the one before is the first.
+#: Strings that a bucket has first, of tokens that may go on in other buckets, packed by fragments of their hashes.
+_FIRSTS = "strings binary, firsts binary"
+_FOUND = PACKED_MARKS + ", fragment int, " + _FIRSTS
+_FOUND_TYPES = {"bucket": pa.int32(), "fragment": pa.int32()}
+_FOUND_NAMES = [x.split()[0] for x in _FOUND.split(", ")]
+
+
+def _found(**columns: list) -> pa.Table:
+    many = len(next(iter(columns.values())))
+    types = {x: _FOUND_TYPES.get(x, pa.binary()) for x in _FOUND_NAMES}
+    return pa.table([pa.array(columns[x], types[x]) if x in columns else pa.nulls(many, types[x]) for x in _FOUND_NAMES], _FOUND_NAMES)
+
+
+def _bucket(ids, ties, places, data: np.ndarray, offsets: np.ndarray, left: np.ndarray, width: int, gram: int, groups: int) -> Iterator[pa.Table]:
+    """Of one sorted bucket: later strings as packed marks and, of the tokens at its ends, first strings."""
+    # Rows in the order of places, each place once: of two rows with one string, the one before is the first.
     ranked = np.lexsort((places, ties, ids))
-    ids, ties, places = ids[ranked], ties[ranked], places[ranked]
-    left, right = [left[i] for i in ranked], [right[i] for i in ranked]
-    n = len(ids)
-    left_size, right_size = np.fromiter(map(len, left), np.int64, n), np.fromiter(map(len, right), np.int64, n)
-    forward = _characters(right, width)
-    order = multikey_order(forward)
-    token = np.zeros(n, np.int64)
-    head = forward[:, : gram // 8]
-    step = (head[order[1:]] != head[order[:-1]]).any(1) if n > 1 else np.zeros(0, bool)
-    token[order] = np.concatenate(([0], np.cumsum(step)))
-    ends = (token == 0) | (token == int(token[order[-1]]))
-    reach = _common(forward, right_size, order)
-    back = _characters([x[::-1] for x in left], width)
-    reach_left = _common(back, left_size, multikey_order(back, token))
-    # Of the tokens at the ends, other buckets may have longer common parts.
-    reach, reach_left = np.where(ends, right_size, reach), np.where(ends, left_size, reach_left)
-    low, high = np.maximum(0, width - reach), np.minimum(reach_left, width - gram)
-    many = np.maximum(0, high - low + 1)
-    if not many.sum():
-        return None
-    row = np.repeat(np.arange(n, dtype=np.int32), many)
-    offset = (np.arange(len(row)) - np.repeat(np.cumsum(many) - many - low, many)).astype(np.int32)
-    sums = prefix(byte_values(b"".join(x for pair in zip(left, right) for x in pair)))
-    begin = (np.cumsum(left_size + right_size) - right_size)[row] - offset
-    string = span(sums, begin, begin + width)
-    order = np.argsort(string)
-    run = np.flatnonzero(np.concatenate(([True], string[order[1:]] != string[order[:-1]])))
-    leads = np.minimum.reduceat(order, run)
-    lead = np.zeros(len(row), np.int64)
-    lead[order] = np.repeat(leads, np.diff(np.append(run, len(row))))
-    # Flat places are in the order of rows, so the least of a run is the first string; a string may be there by two suffixes.
-    first, other = row[lead], (places[row] - offset) != (places[row[lead]] - offset[lead])
-    later = other | (ids[row] != ids[first]) | (ties[row] != ties[first])
-    # The first row of a string may offer it by a token inside the bucket, another row by one at its ends.
-    opened = np.zeros(len(row), bool)
-    opened[leads] = np.logical_or.reduceat(ends[row][order], run)
-    # Offsets of a row ascend, so a run of later strings begins at its last offset.
-    change = np.concatenate(([True], row[1:] != row[:-1]))
-    start = np.flatnonzero(later & (change | np.concatenate(([True], ~later[:-1]))))
-    stop = np.flatnonzero(later & np.append(change[1:] | ~later[1:], True))
-    at = row[start]
-    packed = packed_marks(ids[at], ties[at], np.column_stack([places[at] - offset[stop], stop - start + 1]), groups)
-    many, at = packed.num_rows, row[opened]
-    firsts = [string[opened].view(np.int64), ids[at], ties[at], places[at] - offset[opened]]
-    columns = [pa.chunked_array([pa.nulls(many, pa.int64()), pa.array(x, pa.int64())]) for x in firsts]
-    columns += [pa.chunked_array([*packed.column(c).chunks, pa.nulls(len(at), packed.schema.field(c).type)], packed.schema.field(c).type) for c in packed.column_names]
-    return pa.table(columns, _FOUND.names)
+    fresh = np.ones(len(ranked), bool)
+    fresh[1:] = np.logical_or.reduce([x[ranked][1:] != x[ranked][:-1] for x in (ids, ties, places)])
+    ranked = ranked[fresh]
+    ids, ties, places, left = ids[ranked], ties[ranked], places[ranked], left[ranked].astype(np.int64)
+    begin = offsets[ranked].astype(np.int64) + left
+    right = offsets[ranked + 1] - begin
+    characters = _characters(data, begin, 1, right, width)
+    forward = Sorted(characters, right)
+    token = forward.ranks(gram)
+    backward = Sorted(_characters(data, begin - 1, -1, left, width - gram), left, token)
+    del characters
+    # Offsets at which the string around a suffix lies in its text.
+    low, high = np.maximum(0, width - right), np.minimum(left, width - gram)
+    # Rows alike on both sides: all strings of those but the first are later.
+    _, lead, which = np.unique((forward.wholes() << 32) | backward.wholes(), return_index=True, return_inverse=True)
+    copies = np.flatnonzero((lead[which] != np.arange(len(ids))) & (high >= low))
+    row, start, many = [copies], [places[copies] - high[copies]], [(high - low + 1)[copies]]
+    # Of the others, a string is later if a row before has the same rank on both sides.
+    single = np.sort(lead)
+    ends = np.isin(token[single], token[forward.order[[0, -1]]])
+    near_low, near_high = np.maximum(low, width - forward.reach)[single], np.minimum(high, backward.reach)[single]
+    later = np.zeros((len(single), width - gram + 1), bool)
+    first_row, first_offset = [], []
+    for o in range(width - gram + 1):
+        at = np.flatnonzero(((near_low <= o) & (o <= near_high)) | (ends & (low[single] <= o) & (o <= high[single])))
+        if not len(at):
+            continue
+        rank = (forward.ranks(width - o)[single[at]] << 32) | backward.ranks(o)[single[at]]
+        _, first, same = np.unique(rank, return_index=True, return_inverse=True)
+        later[at, o] = first[same] != np.arange(len(at))
+        # A string is sent if any row of the tokens at the ends offers it, in the place that is first here.
+        opened = np.zeros(len(first), bool)
+        opened[same[ends[at]]] = True
+        first_row.append(single[at[first[opened]]])
+        first_offset.append(np.full(int(opened.sum()), o))
+    step = np.diff(np.pad(later.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    (at, opens), (_, closes) = np.nonzero(step == 1), np.nonzero(step == -1)
+    row, start, many = np.concatenate([*row, single[at]]), np.concatenate([*start, places[single[at]] - (closes - 1)]), np.concatenate([*many, closes - opens])
+    if len(row):
+        packed = packed_marks(ids[row], ties[row], np.column_stack([start, many]), groups)
+        yield _found(**{c: packed.column(c).to_pylist() for c in packed.column_names})
+    row, offset = (np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (first_row, first_offset))
+    strings = np.empty(len(row), np.uint64)
+    for a in range(0, len(row), ROWS_AT_ONCE):
+        here = slice(a, a + ROWS_AT_ONCE)
+        body = data[(begin[row[here]] - offset[here])[:, None] + np.arange(width)]
+        strings[here] = windows(body.ravel().astype(np.uint64) + np.uint64(1), width)[::width]
+    if len(row):
+        fragment = (((strings >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)).astype(np.int64)
+        firsts = np.column_stack([ids[row], ties[row], places[row] - offset])
+        order = np.argsort(fragment, kind="stable")
+        cut = np.append(np.flatnonzero(np.diff(fragment[order], prepend=-1)), len(order)).tolist()
+        parts = [order[a:b] for a, b in zip(cut, cut[1:])]
+        yield _found(fragment=[int(fragment[x[0]]) for x in parts], strings=[strings[x].tobytes() for x in parts], firsts=[firsts[x].tobytes() for x in parts])
 
 
 def sorted_buckets(suffixes: DataFrame, width: int, gram: int, buckets: int, groups: int) -> DataFrame:
     """Rows of _FOUND from suffixes with their contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("suffixes", object)
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
-        whole = pa.Table.from_batches(parts)
-        ids, ties, places = (whole.column(c).to_numpy() for c in ("_id", "_tie", "place"))
-        found = _bucket(ids, ties, places, whole.column("left").to_pylist(), whole.column("right").to_pylist(), width, gram, groups)
-        if found is not None:
+        ids, ties, places, left = (np.concatenate([b.column(i).to_numpy() for b in parts]) for i in range(4))
+        pieces, offsets, total = [], [np.zeros(1, np.int64)], 0
+        for b in parts:
+            column = b.column(4)
+            own = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+            pieces.append(np.frombuffer(column.buffers()[2], np.uint8)[own[0] : own[-1]])
+            offsets.append(own[1:] - own[0] + total)
+            total += int(own[-1] - own[0])
+        data, offsets = np.concatenate(pieces), np.concatenate(offsets)
+        parts.clear()
+        pieces.clear()
+        for found in _bucket(ids, ties, places, data, offsets, left, width, gram, groups):
             yield from found.combine_chunks().to_batches()
 
-    return suffixes.repartitionByRange(buckets, "lead", "_id", "_tie", "place").mapInArrow(run, _FOUND)
+    lead = F.substring("context", F.col("left") + 1, F.lit(gram))
+    return bounded(suffixes.repartitionByRange(buckets, lead, "_id", "_tie", "place"), run, _FOUND)
 
 
 def _later(found: DataFrame, groups: int) -> DataFrame:
     """Packed marks: runs (first start, how many) of strings that are not the first of their kind."""
-    first = F.struct("_id", "_tie", "start")
-    ends = found.filter("string IS NOT NULL")
-    across = ends.groupBy("string").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    opened = ends.join(across, "string").filter(first != F.col("first")).select("_id", "_tie", "start")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                ids, ties, starts = (batch.column(i).to_numpy() for i in range(3))
-                yield from packed_marks(ids, ties, np.column_stack([starts, np.ones(len(ids), np.int64)]), groups).to_batches()
 
-    return found.filter("bucket IS NOT NULL").select("bucket", "ids", "ties", "counts", "values").union(opened.mapInArrow(run, PACKED_MARKS))
+    def across(table: pa.Table) -> pa.Table:
+        strings = np.frombuffer(b"".join(table.column("strings").to_pylist()), np.uint64)
+        ids, ties, starts = np.frombuffer(b"".join(table.column("firsts").to_pylist()), np.int64).reshape(-1, 3).T
+        order = np.lexsort((starts, ties, ids, strings))
+        later = order[np.append(False, strings[order][1:] == strings[order][:-1])]
+        # A bucket may offer one place by two suffixes.
+        before = order[np.append(strings[order][1:] == strings[order][:-1], False)]
+        other = (ids[later] != ids[before]) | (ties[later] != ties[before]) | (starts[later] != starts[before])
+        later = later[other]
+        return packed_marks(ids[later], ties[later], np.column_stack([starts[later], np.ones(len(later), np.int64)]), groups)
+
+    ends = found.filter("fragment IS NOT NULL").select("fragment", "strings", "firsts")
+    inside = found.filter("bucket IS NOT NULL").select("bucket", "ids", "ties", "counts", "values")
+    return inside.union(ends.groupBy("fragment").applyInArrow(across, PACKED_MARKS))
 
 
 def _removed(docs: DataFrame, width: int, kept: list[str]) -> DataFrame:
