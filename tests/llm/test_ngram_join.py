@@ -6,6 +6,7 @@ import re
 import pytest
 
 from tests.llm.fixtures import documents, sample
+from tracklore.llm import ngram_join
 from tracklore.llm.ngram_join import ngram_jaccard_join
 
 
@@ -56,6 +57,30 @@ def test_equals_all_pairs(spark, n, percent):
     assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in out) == _brute(rows, n, percent)
 
 
+@pytest.mark.parametrize("block", [150, 1_000_000])
+def test_near_copies_apart_from_their_leader(spark, monkeypatch, block):
+    """Many edits of one text, most too far from it and from each other to be linked, some in pairs that are; in one block and in many."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "FRAGMENT", 20_000)
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(900)]
+    base = [rng.choice(words) for _ in range(100)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 90):
+        if i % 3 == 2:  # an edit of the row before
+            text = rows[-1][1].split()
+            text[rng.randrange(100)] = rng.choice(words)
+        else:
+            text = list(base)
+            for _ in range(rng.choice([1, 3, 5, 7])):
+                text[rng.randrange(100)] = rng.choice(words[:40])
+        rows.append((i, " ".join(text)))
+    line = "this one line is common to all of these"
+    rows += [(100 + i, f"{line} {' '.join(rng.choice(words) for _ in range(12))}") for i in range(40)]
+    out = ngram_jaccard_join(documents(spark, rows), 4, 85).collect()
+    assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in out) == _brute(rows, 4, 85)
+
+
 def test_empty_table_and_clashing_names(spark):
     docs = documents(spark, [(2, "a b c d e f"), (1, "a b c d e f")]).withColumnRenamed("source", "component_id").withColumnRenamed("lang", "set_id")
     assert ngram_jaccard_join(docs.limit(0)).count() == 0

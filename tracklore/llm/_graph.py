@@ -21,8 +21,10 @@ def components(work: Work, edges: DataFrame, name: str) -> DataFrame:
         over = labels.select(F.col("node").alias("via"), F.col("comp").alias("next"))
         jumped = pulled.join(over, F.col("comp") == F.col("via"), "left").select("node", "old", F.least("comp", "next").alias("comp"))
         done = work.cut(jumped, f"{name}-{k}")
+        work.drop(f"{name}-{k - 1}", release=False)
         changed = done.filter("comp != old").limit(1).count()
         labels = done.select("node", "comp")
         if not changed:
+            work.drop(f"{name}-edges")
             return labels
     raise RuntimeError("labels did not settle")

@@ -40,11 +40,12 @@ class Work:
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, table: str) -> None:
+    def drop(self, table: str, release: bool = True) -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{table}")
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        self.release()
+        if release:
+            self.release()
 
     def release(self) -> None:
         """Let Spark's cleaner see that shuffles of finished steps are unreachable."""
@@ -91,6 +92,15 @@ def trimmed() -> None:
         pass
 
 
+def aside(names: list[str]) -> Column:
+    """The caller's columns in one, out of the way of an operator's own names."""
+    return (F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in names)) if names else F.lit(True)).alias("_kept")
+
+
+def restored(names: list[str]) -> list[Column]:
+    return [F.col("_kept").getField(c).alias(c) for c in names]
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
