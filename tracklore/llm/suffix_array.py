@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklore.llm._hash import byte_values, windows
+from tracklore.llm._hash import byte_values, mix, windows
 from tracklore.llm._marks import PACKED_MARKS, keyed, marks_of, packed_marks, with_marks
 from tracklore.llm._work import Work, bounded, bounded_batches, groups_of, held, text_bytes, texts_of
 from tracklore.llm.substring import _PACKED, _deal, _emit, _meet, _repeated_here
@@ -70,7 +70,8 @@ def _sampled(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, np.
     padded = np.concatenate([np.zeros(size - 1, np.uint64), least, np.zeros(len(token) - len(least), np.uint64)])
     at = np.flatnonzero((_sliding(padded, size, np.maximum) == token) & (token > 0))
     owner = np.searchsorted(first, at, "right") - 1
-    return owner, at - first[owner], token[at]
+    # Chosen tokens have small hashes; mixed anew, they spread over all fragments.
+    return owner, at - first[owner], mix(token[at])
 
 
 def repeated_tokens(docs: DataFrame, width: int, gram: int, fragments: int) -> DataFrame:
