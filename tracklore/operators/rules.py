@@ -1,4 +1,4 @@
-"""Rule classifiers, entitlement, quotas and admission, as column expressions over tables."""
+"""Rule classifiers, approvals, quotas and admission, as column expressions over tables."""
 
 from __future__ import annotations
 
@@ -7,11 +7,20 @@ from pyspark.sql import functions as F
 
 #: Substrings that name a class of error, by precedence, and delays in seconds of its retries. Fixed values.
 ERRORS = {
-    "rate_limit": ("429", "rate limit", "rate_limit", "too many requests"),
-    "context_overflow": ("context window", "context length", "maximum context", "prompt is too long"),
+    "context_overflow": ("context window exceeded", "maximum context length", "max context length", "prompt is too long", "context length exceeded", "too many input tokens", "input is too long"),
+    "rate_limit": ("429", "rate limit", "rate_limit", "too many requests", "too many tokens", "request limit", "throttl"),
     "transient": ("timeout", "timed out", "503", "service unavailable", "502", "bad gateway", "500", "internal server error", "overloaded", "capacity", "connection reset", "connection refused", "connection error", "eof", "broken pipe"),
 }
 DELAYS = {"rate_limit": (30, 60), "transient": (5, 15, 30)}
+#: Job operations that start a run, hardware without graphics processors, and operations of each tool that change something.
+#: Fixed values.
+RUNS = ("run", "uv", "scheduled run", "scheduled uv")
+CPU = ("cpu-basic", "cpu-upgrade")
+CHANGES = {
+    "hf_private_repos": ("upload_file", "create_repo"),
+    "hf_repo_files": ("upload", "delete"),
+    "hf_repo_git": ("delete_branch", "delete_tag", "merge_pr", "create_repo", "update_repo"),
+}
 
 
 def holds_any(text: Column, words) -> Column:
@@ -23,12 +32,25 @@ def holds_any(text: Column, words) -> Column:
 
 
 def error_class(message: Column) -> Column:
+    """A prompt that is too long is never sent again; of the rest a rate limit goes before other passing errors."""
     out = F.lit("other")
     for name, words in reversed(ERRORS.items()):
         out = F.when(holds_any(message, words), name).otherwise(out)
     return out
 
 
+def friendly_class(message: Column) -> Column:
+    """The kind of advice an error deserves, null for none."""
+    has = lambda *words: holds_any(message, words)
+    unknown = has("model_not_found") | (has("model") & has("not found", "does not exist"))
+    return (
+        F.when(has("authentication", "unauthorized", "invalid x-api-key"), "authentication")
+        .when(has("insufficient") & has("credit"), "credits")
+        .when(has("not supported by provider", "no provider supports"), "provider")
+        .when(unknown, "model")
+    )
+
+
 def retry_delay(kind: Column, attempt: Column) -> Column:
     """Null once the delays are used up."""
     out = F.lit(None).cast("int")
@@ -37,11 +59,6 @@ def retry_delay(kind: Column, attempt: Column) -> Column:
     return out
 
 
-def plan_tier(plan: Column, paid_orgs: Column) -> Column:
-    low = F.lower(F.coalesce(plan, F.lit("")))
-    return F.when(low.isin("pro", "enterprise", "team"), low).when(F.size(paid_orgs) > 0, "org").otherwise("free")
-
-
 def daily_cap(plan: Column) -> Column:
     return F.when(F.coalesce(plan, F.lit("")).isin("", "free"), 1).otherwise(20)
 
@@ -61,17 +78,33 @@ def charged_sessions(starts: DataFrame, cap: int) -> DataFrame:
 
 
 def capacity_gate(live: DataFrame, total: int = 200, own: int = 10) -> DataFrame:
-    """Whether a user may open one more session."""
+    """Whether a user may open one more session. The count of all sessions is one row, so its broadcast is bounded."""
     by_user = live.groupBy("user_id").agg(F.count(F.lit(1)).alias("live"))
-    everyone = live.count()
-    return by_user.withColumn("may_open", (F.col("live") < own) & F.lit(everyone < total))
+    everyone = by_user.agg(F.coalesce(F.sum("live"), F.lit(0)).alias("_all"))
+    gated = by_user.crossJoin(F.broadcast(everyone))
+    return gated.withColumn("may_open", (F.col("live") < own) & (F.col("_all") < total)).drop("_all")
+
 
+def needs_approval(tool: Column, operation: Column, flavor: Column, valid: Column | None = None, skip_all: Column | None = None, confirm_cpu: Column | None = None, auto_upload: Column | None = None) -> Column:
+    """Whether a call waits for a yes. Malformed arguments never wait, as they fail anyway; nor does anything under skip_all.
+    Creating a sandbox always waits; a run waits unless it is on plain hardware and confirm_cpu is off; an upload to a
+    private repository waits unless auto_upload is on; other operations wait where they are listed in CHANGES."""
+    on = lambda c, default: F.coalesce(c, F.lit(default)) if c is not None else F.lit(default)
+    does = F.coalesce(operation, F.lit(""))
+    plain = F.coalesce(F.nullif(flavor, F.lit("")), F.lit(CPU[0])).isin(*CPU)
+    listed = F.lit(False)
+    for name, operations in CHANGES.items():
+        listed |= (tool == name) & does.isin(*operations)
+    run = (tool == "hf_jobs") & does.isin(*RUNS) & (~plain | on(confirm_cpu, True))
+    upload = (tool == "hf_private_repos") & (does == "upload_file") & on(auto_upload, False)
+    asks = (tool == "sandbox_create") | run | (listed & ~upload)
+    return F.coalesce(asks & on(valid, True) & ~on(skip_all, False), F.lit(False))
 
-def needs_approval(tool: Column, flavor: Column, confirm_all: Column) -> Column:
-    """Jobs on other than basic hardware, sandboxes on graphics processors, and deletions need approval, unless switched off."""
-    costly = (tool == "hf_jobs") & (F.coalesce(flavor, F.lit("cpu-basic")) != "cpu-basic")
-    sandbox = (tool == "sandbox_create") & ~F.startswith(F.coalesce(flavor, F.lit("cpu-basic")), F.lit("cpu"))
-    return F.when(confirm_all, F.lit(True)).otherwise(F.coalesce(costly | sandbox | F.endswith(tool, F.lit("delete")), F.lit(False)))
+
+def split_by_approval(calls: DataFrame, needs: Column) -> tuple[DataFrame, DataFrame]:
+    """Calls that wait for a yes, and those that run at once."""
+    marked = calls.withColumn("_needs", needs)
+    return marked.filter("_needs").drop("_needs"), marked.filter("NOT _needs").drop("_needs")
 
 
 def decisions(pending: DataFrame, answers: DataFrame, key: str) -> DataFrame:
@@ -80,5 +113,45 @@ def decisions(pending: DataFrame, answers: DataFrame, key: str) -> DataFrame:
 
 
 def model_id_ok(name: Column) -> Column:
-    parts = F.split(name, "/")
-    return F.coalesce((F.size(parts) == 2) & F.forall(parts, lambda p: p != ""), F.lit(False))
+    """Two or more parts without an empty one, before the tag behind the first colon."""
+    parts = F.split(F.split_part(name, F.lit(":"), F.lit(1)), "/")
+    return F.coalesce((F.size(parts) >= 2) & F.forall(parts, lambda p: p != ""), F.lit(False))
+
+
+def pushes_to_hub(script: Column) -> Column:
+    text = F.coalesce(script, F.lit(""))
+    return F.contains(text, F.lit("push_to_hub=True")) | F.contains(text, F.lit("push_to_hub=true")) | F.contains(text, F.lit("hub_model_id"))
+
+
+def save_pattern(script: Column) -> Column:
+    """What a training script does with its model: unsaved, pushed, or null where it loads none."""
+    loads, pushes = F.contains(script, F.lit("from_pretrained")), F.contains(script, F.lit("push_to_hub"))
+    return F.when(loads & ~pushes, "unsaved").when(loads & pushes, "pushed")
+
+
+def looks_like_path(script: Column) -> Column:
+    """A string without line ends or space around that begins as a path does."""
+    begins = F.startswith(script, F.lit("/")) | F.startswith(script, F.lit("./")) | F.startswith(script, F.lit("../"))
+    return F.coalesce(begins & (F.regexp_replace(script, F.lit(r"^\s+|\s+$"), F.lit("")) == script) & ~script.rlike(r"[\r\n\x00]"), F.lit(False))
+
+
+def first_given(*values: Column) -> Column:
+    """The first value that is neither null nor empty."""
+    return F.coalesce(*(F.nullif(v, F.lit("")) for v in values))
+
+
+def stage_matches(stage: Column, everything: Column, status: Column) -> Column:
+    """Jobs to list: running ones unless everything is asked for; a status asked for is a part of the stage."""
+    asked = F.nullif(status, F.lit(""))
+    return (F.coalesce(everything, F.lit(False)) | (stage == "RUNNING")) & (asked.isNull() | F.contains(stage, F.upper(asked)))
+
+
+def visible_to(owner: Column, user: Column) -> Column:
+    """Rows of an owner, all rows where no user is given or the user is the developer."""
+    given = F.nullif(user, F.lit(""))
+    return given.isNull() | (given == "dev") | F.coalesce(owner == given, F.lit(False))
+
+
+def allowed_tools(tools: DataFrame, allow: tuple[str, ...] | None = None, deny: tuple[str, ...] = (), name: str = "name") -> DataFrame:
+    kept = tools if allow is None else tools.filter(F.col(name).isin(*allow))
+    return kept.filter(~F.coalesce(F.col(name).isin(*deny), F.lit(False))) if deny else kept

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracklore.operators import rules, tables
+from tracklore.operators import access, rules, tables
 from tracklore.plans.kpi import LOG, events
 from tracklore.plans.registry import query
 
@@ -71,28 +71,57 @@ def capacity_gate(spark, sf_dir):
     return rules.capacity_gate(live, total=1_000_000)
 
 
-_MESSAGE = "CASE doc_id % 6 WHEN 0 THEN 'HTTP 429 ' || left(text, 20) WHEN 1 THEN 'maximum context reached' WHEN 2 THEN 'Bad Gateway' WHEN 3 THEN 'request timed out' WHEN 4 THEN 'Overloaded' ELSE 'no such file' END"
-_CLASS = "CASE " + " ".join(f"WHEN {' OR '.join(f'contains(m, {w!r})' for w in words)} THEN '{name}'" for name, words in rules.ERRORS.items()) + " ELSE 'other' END"
+_MESSAGE = "CASE doc_id % 9 WHEN 0 THEN 'HTTP 429 x' WHEN 1 THEN 'Maximum context length reached' WHEN 2 THEN 'Bad Gateway' WHEN 3 THEN 'request timed out' WHEN 4 THEN 'Overloaded' WHEN 5 THEN 'ThrottlingException' WHEN 6 THEN 'too many input tokens, timeout' WHEN 7 THEN 'Model x does not exist' ELSE 'no such file' END"
 
 
 @query(
     "error_class",
-    f"""WITH e AS (SELECT doc_id, lower({_MESSAGE}) AS m FROM documents), c AS (SELECT doc_id, {_CLASS} AS kind, (doc_id % 4)::INT AS attempt FROM e)
-SELECT doc_id, kind, CASE WHEN kind = 'rate_limit' THEN ([30, 60])[attempt + 1] WHEN kind = 'transient' THEN ([5, 15, 30])[attempt + 1] END AS delay FROM c""",
+    """WITH e AS (SELECT doc_id, (doc_id % 9)::INT AS c, (doc_id % 4)::INT AS attempt FROM documents),
+k AS (SELECT doc_id, attempt, c, CASE WHEN c IN (1, 6) THEN 'context_overflow' WHEN c IN (0, 5) THEN 'rate_limit' WHEN c IN (2, 3, 4) THEN 'transient' ELSE 'other' END AS kind FROM e)
+SELECT doc_id, kind, CASE WHEN kind = 'rate_limit' THEN ([30, 60])[attempt + 1] WHEN kind = 'transient' THEN ([5, 15, 30])[attempt + 1] END AS delay, CASE WHEN c = 7 THEN 'model' END AS advice FROM k""",
 )
 def error_class(spark, sf_dir):
-    rows = read(spark, sf_dir, "documents").select("doc_id", rules.error_class(F.expr(_MESSAGE)).alias("kind"))
+    message = F.expr(_MESSAGE)
+    rows = read(spark, sf_dir, "documents").select("doc_id", rules.error_class(message).alias("kind"), rules.friendly_class(message).alias("advice"))
     return rows.withColumn("delay", rules.retry_delay(F.col("kind"), (F.col("doc_id") % 4).cast("int")))
 
 
+_WHO = """array(named_struct('name', 'acme', 'plan', CASE WHEN c_custkey % 3 = 0 THEN 'Enterprise Hub' END, 'type', cast(NULL AS string)), named_struct('name', 'beta', 'plan', '', 'type', CASE WHEN c_custkey % 5 = 0 THEN 'team' ELSE 'free' END),
+  named_struct('name', '', 'plan', 'pro', 'type', cast(NULL AS string)))"""
+_WHO_SQL = """w AS (SELECT c_custkey, c_name, (c_mktsegment = 'BUILDING' OR (c_mktsegment = 'MACHINERY' AND c_custkey % 2 = 0)) AS pays,
+  CASE WHEN c_custkey % 3 = 0 THEN ['acme'] ELSE [] END || CASE WHEN c_custkey % 5 = 0 THEN ['beta'] ELSE [] END AS orgs,
+  CASE c_custkey % 4 WHEN 0 THEN 'acme' WHEN 1 THEN c_name WHEN 2 THEN 'beta' END AS asked FROM customer)"""
+
+
+def whoami(spark, sf_dir):
+    rows = read(spark, sf_dir, "customer").selectExpr("c_custkey", "c_name", "CASE c_mktsegment WHEN 'BUILDING' THEN 'pro_annual' WHEN 'HOUSEHOLD' THEN 'basic' END AS plan", "c_mktsegment = 'MACHINERY' AND c_custkey % 2 = 0 AS is_pro", f"{_WHO} AS orgs", "CASE c_custkey % 4 WHEN 0 THEN 'acme' WHEN 1 THEN c_name WHEN 2 THEN 'beta' END AS asked")
+    none = F.lit(None).cast("string")
+    return rows.withColumns({"personal": access.personal_plan(F.col("plan"), F.lit(""), none, F.col("is_pro")), "paid": access.paid_orgs(F.col("orgs"))})
+
+
+@query("plan_tier", f"WITH {_WHO_SQL} SELECT c_custkey, CASE WHEN pays THEN 'pro' WHEN len(orgs) > 0 THEN 'org' ELSE 'free' END AS tier, CASE WHEN pays OR len(orgs) > 0 THEN 20 ELSE 1 END AS cap, array_to_string(CASE WHEN pays THEN [c_name] ELSE [] END || orgs, ',') AS eligible FROM w")
+def plan_tier(spark, sf_dir):
+    tier = access.plan_tier(F.col("personal"), F.col("paid"))
+    eligible = access.eligible_namespaces(F.col("c_name"), F.col("personal"), F.col("paid"))
+    return whoami(spark, sf_dir).select("c_custkey", tier.alias("tier"), rules.daily_cap(tier).alias("cap"), F.array_join(eligible, ",").alias("eligible"))
+
+
 @query(
-    "plan_tier",
-    "SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'pro' WHEN c_custkey % 3 = 0 THEN 'org' ELSE 'free' END AS tier, CASE WHEN c_mktsegment = 'BUILDING' THEN 20 ELSE 1 END AS cap FROM customer",
+    "job_namespace",
+    f"""WITH {_WHO_SQL}, e AS (SELECT *, CASE WHEN pays THEN [c_name] ELSE [] END || orgs AS eligible, c_custkey % 7 <> 0 AS known FROM w),
+n AS (SELECT *, CASE WHEN NOT known THEN coalesce(asked, c_name) WHEN asked IS NOT NULL THEN CASE WHEN list_contains(eligible, asked) THEN asked END WHEN pays THEN c_name END AS namespace FROM e)
+SELECT c_custkey, namespace, CASE WHEN namespace IS NOT NULL THEN NULL WHEN asked IS NOT NULL THEN 'not_allowed' WHEN len(orgs) > 0 THEN 'namespace_required' ELSE 'upgrade_required' END AS problem FROM n""",
 )
-def plan_tier(spark, sf_dir):
-    plan = F.when(F.col("c_mktsegment") == "BUILDING", "Pro")
-    orgs = F.when(F.col("c_custkey") % 3 == 0, F.array(F.lit("org"))).otherwise(F.array().cast("array<string>"))
-    return read(spark, sf_dir, "customer").select("c_custkey", rules.plan_tier(plan, orgs).alias("tier"), rules.daily_cap(plan).alias("cap"))
+def job_namespace(spark, sf_dir):
+    found = access.namespace(F.col("asked"), F.col("c_name"), F.col("personal"), F.col("paid"), F.col("c_custkey") % 7 != 0)
+    return whoami(spark, sf_dir).select("c_custkey", found.alias("x")).select("c_custkey", "x.namespace", "x.problem")
+
+
+@query("org_member", "SELECT c_custkey, c_custkey % 3 = 0 AS member, CASE WHEN c_custkey % 4 = 3 THEN c_name WHEN c_custkey % 2 = 0 THEN 's' || c_custkey ELSE 'unknown' END AS user_id, CASE WHEN c_custkey % 4 = 3 THEN c_name ELSE 'unknown' END AS username FROM customer")
+def org_member(spark, sf_dir):
+    sub, preferred = F.expr("CASE WHEN c_custkey % 2 = 0 THEN concat('s', c_custkey) END"), F.expr("CASE WHEN c_custkey % 4 = 3 THEN c_name END")
+    rows = whoami(spark, sf_dir).select("c_custkey", access.is_member(F.col("paid"), F.lit("acme")).alias("member"), access.normalised_user(sub, preferred).alias("u"))
+    return rows.select("c_custkey", "member", "u.user_id", "u.username")
 
 
 @query(
@@ -105,22 +134,72 @@ def approval_join_default(spark, sf_dir):
     return rules.decisions(pending, answers, "key").select("o_orderkey", "approved")
 
 
-@query(
-    "needs_approval",
-    "WITH t AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'hf_jobs' WHEN 1 THEN 'sandbox_create' ELSE 'file_delete' END AS tool, CASE p_size % 3 WHEN 0 THEN 'cpu-basic' WHEN 1 THEN 't4-small' END AS flavor FROM part) SELECT p_partkey, CASE WHEN tool = 'hf_jobs' THEN coalesce(flavor, 'cpu-basic') <> 'cpu-basic' WHEN tool = 'sandbox_create' THEN coalesce(flavor, 'cpu') NOT LIKE 'cpu%' ELSE true END AS needs FROM t",
-)
+_CALL = "CASE p_partkey % 6 WHEN 0 THEN 'hf_jobs' WHEN 1 THEN 'sandbox_create' WHEN 2 THEN 'file_delete' WHEN 3 THEN 'hf_private_repos' WHEN 4 THEN 'hf_repo_files' ELSE 'hf_repo_git' END"
+_DOES = "CASE p_size % 6 WHEN 0 THEN 'run' WHEN 1 THEN 'upload_file' WHEN 2 THEN 'upload' WHEN 3 THEN 'merge_pr' WHEN 4 THEN 'create_repo' ELSE 'logs' END"
+_HARDWARE = "CASE p_partkey % 4 WHEN 0 THEN 'cpu-upgrade' WHEN 1 THEN 't4-small' WHEN 2 THEN '' END"
+_NEEDS = f"""t AS (SELECT p_partkey, {_CALL} AS tool, {_DOES} AS does, {_HARDWARE} AS flavor, p_partkey % 5 = 0 AS no_cpu, p_partkey % 7 = 0 AS auto, p_partkey % 11 = 0 AS broken, p_partkey % 13 = 0 AS skip FROM part),
+n AS (SELECT *, NOT broken AND NOT skip AND CASE tool WHEN 'sandbox_create' THEN true WHEN 'hf_jobs' THEN does = 'run' AND (coalesce(flavor, '') = 't4-small' OR NOT no_cpu)
+  WHEN 'hf_private_repos' THEN (does = 'upload_file' AND NOT auto) OR does = 'create_repo' WHEN 'hf_repo_files' THEN does = 'upload' WHEN 'hf_repo_git' THEN does IN ('merge_pr', 'create_repo') ELSE false END AS needs FROM t)"""
+
+
+def calls(spark, sf_dir):
+    part = read(spark, sf_dir, "part").select("p_partkey", F.expr(_CALL).alias("tool"), F.expr(_DOES).alias("operation"), F.expr(_HARDWARE).alias("flavor"))
+    key = F.col("p_partkey")
+    return part, rules.needs_approval(F.col("tool"), F.col("operation"), F.col("flavor"), key % 11 != 0, key % 13 == 0, key % 5 != 0, key % 7 == 0)
+
+
+@query("needs_approval", f"WITH {_NEEDS} SELECT p_partkey, needs FROM n")
 def needs_approval(spark, sf_dir):
-    tool = F.expr("CASE p_partkey % 3 WHEN 0 THEN 'hf_jobs' WHEN 1 THEN 'sandbox_create' ELSE 'file_delete' END")
-    flavor = F.expr("CASE p_size % 3 WHEN 0 THEN 'cpu-basic' WHEN 1 THEN 't4-small' END")
-    return read(spark, sf_dir, "part").select("p_partkey", rules.needs_approval(tool, flavor, F.lit(False)).alias("needs"))
+    part, needs = calls(spark, sf_dir)
+    return part.select("p_partkey", needs.alias("needs"))
+
+
+@query("split_by_approval", f"WITH {_NEEDS} SELECT tool, CASE WHEN needs THEN 'waiting' ELSE 'running' END AS state, count(*) AS n FROM n GROUP BY ALL")
+def split_by_approval(spark, sf_dir):
+    waiting, running = rules.split_by_approval(*calls(spark, sf_dir))
+    both = waiting.select("tool", F.lit("waiting").alias("state")).union(running.select("tool", F.lit("running").alias("state")))
+    return both.groupBy("tool", "state").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("model_id_format", "SELECT p_partkey, p_size % 4 = 0 AS ok FROM part")
+@query("approved_pending", "SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_discount > 0.08)")
+def approved_pending(spark, sf_dir):
+    pending = read(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").select("o_orderkey")
+    return pending.join(read(spark, sf_dir, "lineitem").filter("l_discount > 0.08").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi")
+
+
+@query("model_id_format", "SELECT p_partkey, p_size % 6 IN (0, 3, 5) AS ok FROM part")
 def model_id_format(spark, sf_dir):
-    name = F.expr("CASE p_size % 4 WHEN 0 THEN concat(p_brand, '/', p_type) WHEN 1 THEN p_brand WHEN 2 THEN concat(p_brand, '/') ELSE concat('a/', p_brand, '/b') END")
+    name = F.expr("CASE p_size % 6 WHEN 0 THEN concat(p_brand, '/', p_type, ':fast/x') WHEN 1 THEN p_brand WHEN 2 THEN concat(p_brand, '/:x') WHEN 3 THEN concat('huggingface/', p_brand, '/b') WHEN 4 THEN '' ELSE concat('a/', p_type) END")
     return read(spark, sf_dir, "part").select("p_partkey", rules.model_id_ok(name).alias("ok"))
 
 
+@query("job_list_filter", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'RUNNING' ELSE 'ERROR' END AS stage FROM orders WHERE (o_orderkey % 3 = 0 OR o_orderstatus = 'O') AND (o_orderkey % 5 <> 0 OR o_orderstatus = 'F')")
+def job_list_filter(spark, sf_dir):
+    jobs = read(spark, sf_dir, "orders").selectExpr("o_orderkey", "CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'RUNNING' ELSE 'ERROR' END AS stage")
+    asked = F.when(F.col("o_orderkey") % 5 == 0, "complete")
+    return jobs.filter(rules.stage_matches(F.col("stage"), F.col("o_orderkey") % 3 == 0, asked))
+
+
+@query("tool_lists", "SELECT p_partkey, p_type FROM part WHERE p_type IN ('ECONOMY', 'SMALL', 'LARGE') AND p_type <> 'LARGE'")
+def tool_lists(spark, sf_dir):
+    return rules.allowed_tools(read(spark, sf_dir, "part").select("p_partkey", "p_type"), ("ECONOMY", "SMALL", "LARGE"), ("LARGE",), "p_type")
+
+
+@query("visible_sessions", "SELECT o_orderkey, u FROM orders, (VALUES ('dev'), ('7'), (NULL)) v(u) WHERE o_orderkey % 10 = 0 AND (u IS NULL OR u = 'dev' OR o_custkey::VARCHAR = u)")
+def visible_sessions(spark, sf_dir):
+    users = spark.createDataFrame([("dev",), ("7",), (None,)], "u string")
+    rows = read(spark, sf_dir, "orders").filter("o_orderkey % 10 = 0").join(F.broadcast(users), rules.visible_to(F.col("o_custkey").cast("string"), F.col("u")))
+    return rows.select("o_orderkey", "u")
+
+
+@query("script_predicates", """WITH s AS (SELECT p_partkey, p_size % 5 AS c FROM part)
+SELECT p_partkey, c = 1 AS pushes, CASE c WHEN 2 THEN 'unsaved' WHEN 1 THEN 'pushed' END AS saves, c = 3 AS is_path, CASE WHEN c = 4 THEN 'flag' ELSE 'env' END AS first_given FROM s""")
+def script_predicates(spark, sf_dir):
+    script = F.expr("CASE p_size % 5 WHEN 1 THEN 'm = X.from_pretrained(a, push_to_hub=True)' WHEN 2 THEN 'from_pretrained' WHEN 3 THEN './run.py' ELSE 'print(1) ' END")
+    first = rules.first_given(F.expr("CASE WHEN p_size % 5 = 4 THEN 'flag' ELSE '' END"), F.lit(None).cast("string"), F.lit("env"))
+    return read(spark, sf_dir, "part").select("p_partkey", rules.pushes_to_hub(script).alias("pushes"), rules.save_pattern(script).alias("saves"), rules.looks_like_path(script).alias("is_path"), first.alias("first_given"))
+
+
 @query("ci_substring_filter", "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'gear') OR contains(lower(p_type), 'econ') ORDER BY p_partkey LIMIT 60")
 def ci_substring_filter(spark, sf_dir):
     keep = rules.holds_any(F.col("p_name"), ["gear"]) | rules.holds_any(F.col("p_type"), ["econ"])
