@@ -13,8 +13,8 @@ from tracklore.sources.event_log import FLAVORS, lookup
 TOKENS = {"tokens_prompt": 10, "tokens_completion": 5, "tokens_cache_read": 3}
 
 
-def bucket(unit: str) -> Column:
-    return F.date_format(F.date_trunc(unit, "ts"), "yyyy-MM-dd'T'HH" if unit == "hour" else "yyyy-MM-dd")
+def bucket(unit: str, at: str = "ts") -> Column:
+    return F.date_format(F.date_trunc(unit, at), "yyyy-MM-dd'T'HH" if unit == "hour" else "yyyy-MM-dd")
 
 
 def flavor_of(k: Column) -> Column:
@@ -95,6 +95,9 @@ def in_window(log: DataFrame, start: str, end: str) -> DataFrame:
     return log.filter((F.col("ts") >= F.lit(start).cast("timestamp")) & (F.col("ts") < F.lit(end).cast("timestamp")))
 
 
-def lookback(log: DataFrame, day: str, days: int = 1) -> DataFrame:
-    """Events of sessions that began on the day or up to so many days before; reaches a scan as a partition filter."""
-    return log.filter(F.to_date("session_start").isin(*(F.date_sub(F.lit(day).cast("date"), i) for i in range(days + 1))))
+def lookback(rows: DataFrame, at: str, day: str, days: int = 1) -> DataFrame:
+    """Rows of the day or of up to so many days before, by a column of time that is compared as it is stored, so that the filter
+    reaches the scan."""
+    kind = dict(rows.dtypes)[at]
+    first, last = F.date_sub(F.lit(day).cast("date"), days), F.date_add(F.lit(day).cast("date"), 1)
+    return rows.filter((F.col(at) >= first.cast(kind)) & (F.col(at) < last.cast(kind)))

@@ -1,17 +1,18 @@
-"""Session tags: sorted sets of "<namespace>:<value>" strings."""
+"""Session tags: sorted sets of "<namespace>:<value>" strings. The tags of a session
+are put together in operators/trajectories.py."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tracklore.operators.kpis import flavor_of
-from tracklore.sources.event_log import lookup
-
 #: Model families, by the first name that a model's name holds; and job states that count as success or failure. Fixed values.
 FAMILIES = ("opus", "sonnet", "haiku", "kimi", "gpt", "deepseek", "qwen", "llama")
 SUCCEEDED = ("completed", "succeeded", "success")
 FAILED = ("failed", "error", "timeout", "cancelled")
+#: Substrings of outputs that ran out of memory, and of scripts that train. Fixed values.
+MEMORY = ("outofmemoryerror", "cuda out of memory", "oom")
+TRAINING = ("sftconfig", "sfttrainer", "trainer(", "trainingarguments", "grpo", "dpo", ".train(", "transformers import", "trainer import", "fine-tune", "finetune")
 
 
 def model_family(name: Column) -> Column:
@@ -34,50 +35,13 @@ def feedback(up: Column, down: Column) -> Column:
     return F.when((up > 0) & (down > 0), "mixed").when(up > 0, "up").when(down > 0, "down").otherwise("none")
 
 
-def out_of_memory(output: Column, words: bool = False) -> Column:
-    """Substrings by default, which "room" matches too; whole words on request."""
+def out_of_memory(output: Column) -> Column:
+    """Any of the substrings, of which "oom" is in "room" too."""
     low = F.lower(output)
-    return low.rlike(r"\boom\b|out of memory") if words else F.contains(low, F.lit("oom")) | F.contains(low, F.lit("out of memory"))
+    return F.coalesce(F.greatest(*(F.contains(low, F.lit(x)) for x in MEMORY)), F.lit(False))
 
 
 def without_none(tags: Column) -> Column:
     """Drops gpu:none when another gpu tag was seen."""
     gpu = F.size(F.filter(tags, lambda x: F.startswith(x, F.lit("gpu:"))))
     return F.when(gpu > 1, F.array_remove(tags, "gpu:none")).otherwise(tags)
-
-
-def tag_sessions(log: DataFrame) -> DataFrame:
-    call, job, mark = F.col("kind") == "tool_call", (F.col("kind") == "llm_call") & (F.col("k") % 10 == 0), F.col("kind") == "feedback"
-    flavor = flavor_of(F.col("k"))
-    own = [
-        F.when(call, F.concat(F.lit("tool:tool_"), (F.col("k") % 7).cast("string"))),
-        F.when(job, F.lit("hf_job:submitted")),
-        F.when(job, F.concat(F.lit("gpu:"), F.coalesce(lookup(flavor, 1), F.lit("none")))),
-        F.when(job & flavor.rlike("x2|x4|x8"), F.lit("gpu:multi")),
-    ]
-    each = log.groupBy("session_id").agg(
-        *(F.collect_set(c).alias(f"s{i}") for i, c in enumerate(own)),
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("kind") == "llm_call", F.col("value") / 1000)), F.lit(0.0)).alias("cost"),
-        F.count_if(mark & (F.col("k") % 3 == 0)).alias("up"),
-        F.count_if(mark & (F.col("k") % 3 == 1)).alias("down"),
-        F.count_if(job).alias("jobs"),
-    )
-    seen = without_none(F.concat(*(f"s{i}" for i in range(len(own)))))
-    always = F.array(F.concat(F.lit("turns:"), turns_bucket(F.col("n"))), F.concat(F.lit("cost:"), cost_bucket(F.col("cost"))), F.concat(F.lit("feedback:"), feedback(F.col("up"), F.col("down"))))
-    multi = F.when(F.col("jobs") > 1, F.array(F.lit("hf_job:multi"))).otherwise(F.array().cast("array<string>"))
-    return each.select("session_id", F.array_join(F.array_sort(F.array_distinct(F.concat(seen, always, multi))), ",").alias("tags"))
-
-
-def task(tools: Column, scripts: Column, research: list[str], data_prep: list[str]) -> Column:
-    """training > inference > data_prep > research_only > none, from tool names and script texts."""
-    low = F.lower(F.array_join(scripts, "\n"))
-    holds = lambda *words: F.greatest(*(F.contains(low, F.lit(w)) for w in words), F.lit(False))
-    names = lambda values: F.array(*map(F.lit, values))
-    return (
-        F.when(holds("trainer", "train(", "fit("), "training")
-        .when(holds("generate(", "pipeline(", "inference"), "inference")
-        .when(F.arrays_overlap(tools, names(data_prep)), "data_prep")
-        .when((F.size(tools) > 0) & (F.size(F.array_except(tools, names(research))) == 0), "research_only")
-        .otherwise("none")
-    )

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracklore.operators import kpis
 from tracklore.plans.registry import query
-from tracklore.sources.event_log import FLAVORS, from_events
+from tracklore.sources.event_log import from_events
 
 LOG = """log AS (
   SELECT *, row_number() OVER (PARTITION BY session_id ORDER BY event_id) AS pos FROM (
@@ -18,8 +18,8 @@ LOG = """log AS (
 USER_LOG = LOG.replace("user_id || '_' || strftime(ts, '%Y-%m-%d')", "user_id::VARCHAR")
 
 
-def events(spark, sf_dir, by_day=True):
-    return from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), by_day)
+def events(spark, sf_dir, by_day=True, placed=True):
+    return from_events(spark.read.parquet(f"{sf_dir}/events.parquet"), by_day, placed)
 
 
 def _metrics(by: str) -> str:
@@ -53,30 +53,31 @@ FROM s GROUP BY bucket"""
 
 @query("kpi_hourly", _rollup("%Y-%m-%dT%H"))
 def kpi_hourly(spark, sf_dir):
-    return kpis.rollup(events(spark, sf_dir), "hour")
+    return kpis.rollup(events(spark, sf_dir, placed=False), "hour")
 
 
 @query("kpi_daily", _rollup("%Y-%m-%d"))
 def kpi_daily(spark, sf_dir):
-    return kpis.rollup(events(spark, sf_dir), "day")
+    return kpis.rollup(events(spark, sf_dir, placed=False), "day")
 
 
 @query("kpi_session_metrics", f"WITH {LOG}, s AS ({_metrics('')}) SELECT * REPLACE (round(cost_usd, 6) AS cost_usd) FROM s")
 def kpi_session_metrics(spark, sf_dir):
-    return kpis.session_metrics(events(spark, sf_dir)).withColumn("cost_usd", F.round("cost_usd", 6))
+    return kpis.session_metrics(events(spark, sf_dir, placed=False)).withColumn("cost_usd", F.round("cost_usd", 6))
 
 
-_VALUES = ", ".join(f"({i}, '{name}', {n}, '{family}')" for i, (name, (n, family)) in enumerate(FLAVORS.items()))
+_VALUES = """(0, 'cpu-basic', 0), (1, 'cpu-upgrade', 0), (2, 't4-small', 1), (3, 't4-medium', 1), (4, 'l4x1', 1), (5, 'l4x4', 4), (6, 'l40sx1', 1), (7, 'l40sx4', 4), (8, 'l40sx8', 8), (9, 'a10g-small', 1), (10, 'a10g-large', 1),
+  (11, 'a10g-largex2', 2), (12, 'a10g-largex4', 4), (13, 'a100-large', 1), (14, 'a100x2', 2), (15, 'a100x4', 4), (16, 'a100x8', 8), (17, 'h100', 1), (18, 'h100x8', 8)"""
 
 
 @query(
     "kpi_gpu_hours_by_flavor",
-    f"""WITH {LOG}, f(i, flavor, gpus, family) AS (VALUES {_VALUES})
+    f"""WITH {LOG}, f(i, flavor, gpus) AS (VALUES {_VALUES})
 SELECT strftime(ts, '%Y-%m-%d') AS bucket, flavor, round(sum(value * gpus / 3600.0), 6) AS gpu_hours, count(*) AS jobs
-FROM log JOIN f ON k % {len(FLAVORS)} = i WHERE kind = 'llm_call' AND k % 10 = 0 GROUP BY ALL""",
+FROM log JOIN f ON k % 19 = i WHERE kind = 'llm_call' AND k % 10 = 0 GROUP BY ALL""",
 )
 def kpi_gpu_hours_by_flavor(spark, sf_dir):
-    return kpis.gpu_hours(events(spark, sf_dir))
+    return kpis.gpu_hours(events(spark, sf_dir, placed=False))
 
 
 @query(
@@ -86,7 +87,7 @@ def kpi_gpu_hours_by_flavor(spark, sf_dir):
 )
 def kpi_source_counts(spark, sf_dir):
     source = F.when(F.col("k") % 5 == 0, "unknown").otherwise(F.concat(F.lit("source_"), (F.col("k") % 5).cast("string")))
-    clicks = events(spark, sf_dir).filter("kind = 'tool_call'")
+    clicks = events(spark, sf_dir, placed=False).filter("kind = 'tool_call'")
     return clicks.groupBy(kpis.bucket("day").alias("bucket"), source.alias("source")).agg(F.count(F.lit(1)).alias("clicks"))
 
 
@@ -96,11 +97,12 @@ def kpi_source_counts(spark, sf_dir):
   (SELECT session_id FROM log WHERE ts >= TIMESTAMP '2024-01-05 10:00:00' AND ts < TIMESTAMP '2024-01-06 11:00:00') GROUP BY session_id""",
 )
 def window_filter_semi(spark, sf_dir):
-    log = events(spark, sf_dir)
+    log = events(spark, sf_dir, placed=False)
     inside = kpis.in_window(log, "2024-01-05 10:00:00", "2024-01-06 11:00:00").select("session_id")
     return log.join(inside, "session_id", "left_semi").groupBy("session_id").agg(F.count(F.lit(1)).alias("rows_kept"))
 
 
-@query("session_two_day_lookback", f"WITH {LOG} SELECT session_id, count(*) AS n FROM log WHERE session_start::DATE IN (DATE '2024-01-06', DATE '2024-01-05') GROUP BY session_id")
+@query("session_two_day_lookback", f"WITH {LOG} SELECT session_id, count(*) AS n FROM log WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-07' GROUP BY session_id")
 def session_two_day_lookback(spark, sf_dir):
-    return kpis.lookback(events(spark, sf_dir), "2024-01-06").groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
+    raw = kpis.lookback(spark.read.parquet(f"{sf_dir}/events.parquet"), "ts", "2024-01-06")
+    return from_events(raw, placed=False).groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))

@@ -8,7 +8,6 @@ from tracklore.operators import sequences as S
 from tracklore.operators import tags
 from tracklore.plans.kpi import LOG, USER_LOG, events
 from tracklore.plans.registry import query
-from tracklore.sources.event_log import FLAVORS
 
 MARK = "CASE WHEN kind = 'tool_call' AND k % 11 = 0 THEN 'complete' WHEN kind = 'tool_call' AND k % 13 = 0 THEN 'interrupted' WHEN kind = 'error' THEN 'error' ELSE 'other' END"
 CONV = "conv AS (SELECT conv_id AS session_id, turn AS pos, role, text FROM conversations)"
@@ -40,33 +39,6 @@ def tag_outcome_by_day(spark, sf_dir):
     return S.outcome(events(spark, sf_dir).withColumn("mark", F.expr(MARK)))
 
 
-_NAMES = ", ".join(f"'{n}'" for n in FLAVORS)
-_FAMILIES = ", ".join(f"'{f}'" for _, f in FLAVORS.values())
-
-
-@query(
-    "tag_session",
-    f"""WITH {LOG}, t AS (
-  SELECT session_id, unnest(list_concat(
-    CASE WHEN kind = 'tool_call' THEN ['tool:tool_' || (k % 7)] ELSE [] END,
-    CASE WHEN kind = 'llm_call' AND k % 10 = 0 THEN ['hf_job:submitted', 'gpu:' || ([{_FAMILIES}])[k % 19 + 1]] ELSE [] END,
-    CASE WHEN kind = 'llm_call' AND k % 10 = 0 AND regexp_matches(([{_NAMES}])[k % 19 + 1], 'x2|x4|x8') THEN ['gpu:multi'] ELSE [] END)) AS tag FROM log),
-g AS (SELECT session_id, list_distinct(list(tag)) AS tags FROM t GROUP BY session_id),
-s AS (SELECT session_id, count(*) AS n, coalesce(sum(value / 1000) FILTER (kind = 'llm_call'), 0) AS cost,
-  count_if(kind = 'feedback' AND k % 3 = 0) AS up, count_if(kind = 'feedback' AND k % 3 = 1) AS down,
-  count_if(kind = 'llm_call' AND k % 10 = 0) AS jobs FROM log GROUP BY session_id)
-SELECT session_id, array_to_string(list_sort(list_distinct(list_concat(
-  CASE WHEN len(list_filter(coalesce(tags, []), lambda x: x LIKE 'gpu:%')) > 1 THEN list_filter(coalesce(tags, []), lambda x: x <> 'gpu:none') ELSE coalesce(tags, []) END,
-  ['turns:' || CASE WHEN n < 5 THEN 'short' WHEN n <= 20 THEN 'medium' ELSE 'long' END,
-   'cost:' || CASE WHEN cost < 0.10 THEN 'low' WHEN cost < 1 THEN 'med' ELSE 'high' END,
-   'feedback:' || CASE WHEN up > 0 AND down > 0 THEN 'mixed' WHEN up > 0 THEN 'up' WHEN down > 0 THEN 'down' ELSE 'none' END],
-  CASE WHEN jobs > 1 THEN ['hf_job:multi'] ELSE [] END))), ',') AS tags
-FROM s LEFT JOIN g USING (session_id)""",
-)
-def tag_session(spark, sf_dir):
-    return tags.tag_sessions(events(spark, sf_dir))
-
-
 @query(
     "last_value_by_pos",
     f"""WITH {USER_LOG} SELECT session_id, arg_max(kind, pos) AS last_kind, arg_max(k, pos) FILTER (kind = 'tool_output' AND k >= 50) AS last_numeric

@@ -23,8 +23,9 @@ def lookup(column, place: int):
     return F.try_element_at(table, column)
 
 
-def from_events(events: DataFrame, by_day: bool = True) -> DataFrame:
-    """session_id, user_id, session_start, pos, ts, kind, k and value from the flat events table."""
+def from_events(events: DataFrame, by_day: bool = True, placed: bool = True) -> DataFrame:
+    """session_id, user_id, session_start, pos, ts, kind, k and value from the flat events table. Where only the order of positions
+    counts, `placed` may be off: pos is then the event's id, and no shuffle numbers the events."""
     ts = F.col("ts").cast("timestamp")
     day = F.date_trunc("day", ts)
     session = F.concat(F.col("user_id").cast("string"), F.lit("_"), F.date_format(ts, "yyyy-MM-dd")) if by_day else F.col("user_id").cast("string")
@@ -33,7 +34,7 @@ def from_events(events: DataFrame, by_day: bool = True) -> DataFrame:
     order = Window.partitionBy("session_id").orderBy("event_id")
     picked = events.select("event_id", "user_id", session.alias("session_id"), day.alias("day"), ts.alias("ts"), kind.alias("kind"), k.alias("k"), "value")
     start = F.col("day") if by_day else F.date_trunc("day", F.min("ts").over(Window.partitionBy("session_id")))
-    return picked.withColumns({"pos": F.row_number().over(order), "session_start": start}).drop("day")
+    return picked.withColumns({"pos": F.row_number().over(order) if placed else F.col("event_id"), "session_start": start}).drop("day")
 
 
 def sessions(raw: DataFrame, column: str = "value") -> DataFrame:
@@ -51,11 +52,9 @@ def sessions(raw: DataFrame, column: str = "value") -> DataFrame:
 
 def log(session_rows: DataFrame) -> DataFrame:
     """session_id, pos, ts, kind and data (variant); an event with an unreadable time has a null ts."""
-    session_rows.createOrReplaceTempView("_session_rows")
-    out = session_rows.sparkSession.sql(
-        """SELECT session_id, user_id, try_cast(session_start_time AS timestamp) AS session_start, e.pos + 1 AS pos,
-             try_cast(try_variant_get(e.value, '$.timestamp', 'string') AS timestamp) AS ts,
-             try_variant_get(e.value, '$.event_type', 'string') AS kind, try_variant_get(e.value, '$.data', 'variant') AS data
-           FROM _session_rows, LATERAL variant_explode(events) AS e"""
-    )
-    return out
+    each = session_rows.lateralJoin(session_rows.sparkSession.tvf.variant_explode(F.col("events").outer()))
+    text = lambda path: F.try_variant_get("value", path, "string")
+    return each.select(
+        "session_id", "user_id", F.try_to_timestamp("session_start_time").alias("session_start"), (F.col("pos") + 1).alias("pos"),
+        F.try_to_timestamp(text("$.timestamp")).alias("ts"), text("$.event_type").alias("kind"), F.try_variant_get("value", "$.data", "variant").alias("data"),
+    )
