@@ -25,15 +25,17 @@ def without_cut_calls(messages: DataFrame) -> DataFrame:
 
 
 def repaired(log: DataFrame, head: Column, call: Column, result: Column, key: str) -> DataFrame:
-    """The log with a stub result at the end of each block for every call in it without one, renumbered."""
+    """The log with a stub result at the end of each block for every call in it without one, renumbered. All windows are within
+    a session, so one shuffle serves them all."""
     placed = log.withColumns({"block": F.sum(F.when(head, 1).otherwise(0)).over(by_pos()), "_call": call, "_result": result})
-    answered = placed.filter("_result").select("session_id", "block", key).distinct()
-    lost = placed.filter("_call").join(answered, ["session_id", "block", key], "left_anti")
-    ends = placed.groupBy("session_id", "block").agg(F.max("pos").alias("_end"))
-    stubs = lost.join(ends, ["session_id", "block"]).select("session_id", key, (F.col("_end") + 0.5).alias("_at"), F.col("pos").alias("_tie"), F.lit(True).alias("stub"))
-    rows = placed.select("session_id", key, F.col("pos").cast("double").alias("_at"), F.col("pos").alias("_tie"), F.lit(False).alias("stub")).unionByName(stubs)
-    order = Window.partitionBy("session_id").orderBy("_at", "_tie")
-    return rows.withColumn("pos", F.row_number().over(order)).drop("_at", "_tie")
+    same, block = Window.partitionBy("session_id", "block", key), Window.partitionBy("session_id", "block")
+    marked = placed.withColumns({"_answered": F.max(F.col("_result").cast("int")).over(same), "_end": F.max("pos").over(block)})
+    row = lambda at, stub: F.struct(at.cast("double").alias("at"), F.col("pos").alias("tie"), F.lit(stub).alias("stub"))
+    own = row(F.col("pos"), False)
+    lost = F.col("_call") & (F.col("_answered") == 0)
+    rows = marked.select("session_id", key, F.explode(F.when(lost, F.array(own, row(F.col("_end") + 0.5, True))).otherwise(F.array(own))).alias("x"))
+    order = Window.partitionBy("session_id").orderBy("x.at", "x.tie")
+    return rows.select("session_id", key, "x.stub", F.row_number().over(order).alias("pos"))
 
 
 def parts_to_messages(parts: DataFrame) -> DataFrame:
@@ -77,17 +79,33 @@ def plan_progress(items: DataFrame, allowed: tuple[str, ...] = ("pending", "in_p
 
 
 def section_lookup(sections: DataFrame, wanted: str) -> DataFrame:
-    """Per document the section asked for: by id, then title, then part of a title, then start of an id; first of the tier."""
-    low, want = F.lower("title"), wanted.lower()
-    tier = F.when(F.col("id") == wanted, 1).when(low == want, 2).when(F.contains(low, F.lit(want)), 3).when(F.startswith("id", F.lit(wanted)), 4)
+    """Per document the section asked for: by id, then title, then part of a title, then an id below the one asked for; the
+    first of the tier."""
+    low, want = F.lower("title"), wanted.lower().strip()
+    tier = F.when(F.col("id").isin(want, wanted), 1).when(low == want, 2).when(F.contains(low, F.lit(want)), 3).when(F.startswith("id", F.lit(f"{want}.")), 4)
     best = sections.withColumn("tier", tier).filter("tier IS NOT NULL").groupBy("doc").agg(F.min_by(F.struct("id", "title", "tier"), F.struct("tier", "pos")).alias("x"))
     return best.select("doc", "x.id", "x.title", "x.tier")
 
 
-def path_priority(path: Column, patterns: tuple[str, ...] = ("examples", "scripts", "notebooks", "tutorials")) -> Column:
-    """(not under the first pattern, place of the deepest pattern in the path or 999, depth): smaller is better."""
-    parts = F.split(F.lower(path), "/")
-    folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
-    hit = F.filter(folders, lambda p: p.isin(*patterns))
-    place = F.when(F.size(hit) > 0, F.array_position(F.array(*map(F.lit, patterns)), F.element_at(hit, -1)) - 1).otherwise(999)
-    return F.struct((~F.array_contains(folders, patterns[0])).cast("int").alias("outside"), place.cast("int").alias("pattern"), F.size(parts).alias("depth"))
+def seeds(messages: DataFrame) -> DataFrame:
+    """What a new session takes over: no system messages, and none without a role or with a role that is no text."""
+    return messages.filter(F.coalesce(F.col("role").isin("user", "assistant", "tool"), F.lit(False)))
+
+
+def session_info(sessions: DataFrame) -> DataFrame:
+    """Sessions with the number of their messages and pending calls, whose arguments are an object or {}."""
+    call = lambda c: F.struct(c["name"].alias("tool"), c["id"].alias("tool_call_id"), F.coalesce(F.to_json(F.try_parse_json(c["arguments"])), F.lit("{}")).alias("arguments"))
+    pending = F.when(F.coalesce(F.size("calls"), F.lit(0)) > 0, F.transform("calls", call))
+    return sessions.select("session_id", "user_id", F.coalesce(F.size("messages"), F.lit(0)).alias("message_count"), pending.alias("pending"))
+
+
+def cache_marked(values: Column, first: bool, mark: Column) -> Column:
+    """A list whose first or last element is another and the rest as they were; null and empty lists stay."""
+    at = F.lit(0) if first else F.size(values) - 1
+    return F.transform(values, lambda x, i: F.when(i == at, mark(x) if callable(mark) else mark).otherwise(x))
+
+
+def ordered_calls(fragments: DataFrame) -> DataFrame:
+    """Per message its calls in order of their index, as one list."""
+    calls = F.transform(F.array_sort(F.collect_list(F.struct("index", "id", "name", "arguments"))), lambda c: F.struct(c["id"].alias("id"), c["name"].alias("name"), c["arguments"].alias("arguments")))
+    return fragments.groupBy("session_id").agg(calls.alias("calls"))

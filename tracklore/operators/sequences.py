@@ -15,15 +15,16 @@ def whole():
 
 
 def outcome(log: DataFrame) -> DataFrame:
-    """The order-sensitive fold: complete counts before any error only; interruptions always; errors at the end, if open."""
-    seen = F.array_sort(F.collect_list(F.struct("pos", "mark")))
-    start = F.struct(F.lit("ongoing").alias("base"), F.lit(False).alias("failed"))
-    step = lambda s, e: F.struct(
-        F.when((e.mark == "complete") & ~s.failed, "completed").when(e.mark == "interrupted", "interrupted").otherwise(s.base).alias("base"),
-        (s.failed | (e.mark == "error")).alias("failed"),
-    )
-    end = lambda s: F.when(s.failed & ~s.base.isin("completed", "interrupted"), "errored").otherwise(s.base)
-    return log.groupBy("session_id").agg(F.aggregate(seen, start, step, end).alias("outcome"))
+    """The order-sensitive fold: complete counts before any error only; interruptions always; errors at the end, if open.
+    Extremes of positions decide, which combine before the shuffle; only positions of completed turns are a list."""
+    at = lambda mark: F.when(F.col("mark") == mark, F.col("pos"))
+    facts = log.groupBy("session_id").agg(F.min(at("error")).alias("e"), F.max(at("interrupted")).alias("i"), F.collect_list(at("complete")).alias("c"))
+    done = F.array_max(F.filter("c", lambda p: F.col("e").isNull() | (p < F.col("e"))))
+    found = (
+        F.when(F.col("i").isNotNull() & (done.isNull() | (F.col("i") > done)), "interrupted")
+        .when(done.isNotNull(), "completed").when(F.col("e").isNotNull(), "errored").otherwise("ongoing")
+    )
+    return facts.select("session_id", found.alias("outcome"))
 
 
 def lookback(log: DataFrame, n: int) -> DataFrame:
@@ -50,6 +51,34 @@ def repeating_tail(log: DataFrame, signature_column: str, longest: int = 5) -> D
     return gathered.select("session_id", F.try_element_at(sizes, F.lit(1)).alias("pattern_length"))
 
 
+def call_signatures(log: DataFrame, recent: int = 30) -> DataFrame:
+    """Of the last `recent` rows of each session, the calls in order with what tells them apart: name, digest of the arguments,
+    and digest of the result that follows before the next message of a user or assistant, null without one.
+
+    Rows: session_id, pos, kind (call, result or other), message (of a call, its position in the log), id, name, text."""
+    last = log.withColumn("_back", F.dense_rank().over(Window.partitionBy("session_id").orderBy(F.desc("message")))).filter(F.col("_back") <= recent).drop("_back")
+    key = Window.partitionBy("session_id", "id").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+    ahead = Window.partitionBy("session_id").orderBy("message").rangeBetween(1, Window.unboundedFollowing)
+    turn = F.min(F.when(F.col("kind") != "result", F.col("message"))).over(ahead)
+    reply = F.min(F.when(F.col("kind") == "result", F.struct("message", "text"))).over(key)
+    marked = last.withColumns({"_turn": turn, "_reply": reply}).filter("kind = 'call'")
+    inside = F.col("_turn").isNull() | (F.col("_reply.message") < F.col("_turn"))
+    result = F.when(inside, signature(F.col("_reply.text")))
+    return marked.select("session_id", "pos", "name", F.concat_ws("/", F.coalesce("name", F.lit("")), signature(F.coalesce("text", F.lit(""))), F.coalesce(result, F.lit("-"))).alias("sig"))
+
+
+def loop_verdict(signatures: DataFrame, least: int = 3) -> DataFrame:
+    """Per session with `least` calls or more, the name called that often in a row alike, or else the names of the pattern that
+    ends it twice in a row; sessions without either are absent."""
+    enough = signatures.withColumn("_n", F.count(F.lit(1)).over(whole())).filter(F.col("_n") >= least).drop("_n")
+    same = first_run(enough, "sig", least).select("session_id", F.split_part("signature", F.lit("/"), F.lit(1)).alias("same"))
+    names = F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"])
+    tails = repeating_tail(enough, "sig").filter("pattern_length IS NOT NULL")
+    pattern = enough.groupBy("session_id").agg(names.alias("names")).join(tails, "session_id").select("session_id", F.array_join(F.expr("slice(names, -pattern_length, pattern_length)"), ">").alias("pattern"))
+    both = same.join(pattern, "session_id", "full")
+    return both.select("session_id", F.when(F.col("same").isNotNull(), "repeated").otherwise("cycle").alias("verdict"), F.coalesce("same", "pattern").alias("calls"))
+
+
 def streak(rows: DataFrame, name: str, bad: str) -> DataFrame:
     """Per session, how many rows at its end are bad and of the same name, walking back."""
     back = Window.partitionBy("session_id").orderBy(F.desc("pos"))

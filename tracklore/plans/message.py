@@ -71,23 +71,12 @@ def plan_progress(spark, sf_dir):
 
 @query(
     "section_lookup",
-    """WITH s AS (SELECT p_brand AS doc, p_partkey::VARCHAR AS id, p_name AS title, p_partkey AS pos FROM part),
-t AS (SELECT *, CASE WHEN id = '17' THEN 1 WHEN lower(title) = 'hot gear' THEN 2 WHEN contains(lower(title), 'gear') THEN 3 END AS tier FROM s)
-SELECT doc, arg_min(id, (CASE tier WHEN 2 THEN 2 ELSE 3 END, pos)) AS id, arg_min(title, (CASE tier WHEN 2 THEN 2 ELSE 3 END, pos)) AS title, min(CASE tier WHEN 2 THEN 2 ELSE 3 END)::INT AS tier
-FROM t WHERE lower(title) LIKE '%hot gear%' GROUP BY doc""",
+    """WITH s AS (SELECT p_brand AS doc, CASE WHEN p_size % 5 = 0 THEN 'hot gear.' || p_size ELSE p_partkey::VARCHAR END AS id, p_name AS title, p_partkey AS pos FROM part),
+t AS (SELECT *, CASE WHEN lower(title) = 'hot gear' THEN 2 WHEN contains(lower(title), 'hot gear') THEN 3 WHEN id LIKE 'hot gear.%' THEN 4 END AS tier FROM s)
+SELECT doc, arg_min(id, (tier, pos)) AS id, arg_min(title, (tier, pos)) AS title, min(tier)::INT AS tier FROM t WHERE tier IS NOT NULL GROUP BY doc""",
 )
 def section_lookup(spark, sf_dir):
-    return M.section_lookup(read(spark, sf_dir, "part").selectExpr("p_brand AS doc", "cast(p_partkey AS string) AS id", "p_name AS title", "p_partkey AS pos"), "hot gear")
-
-
-@query(
-    "path_priority",
-    """WITH p AS (SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 'examples/' WHEN 1 THEN 'src/scripts/' ELSE '' END || p_type || '.py' AS path FROM part)
-SELECT p_partkey, CASE WHEN path LIKE 'examples/%' THEN 0 ELSE 1 END AS outside, CASE WHEN path LIKE 'examples/%' THEN 0 WHEN path LIKE 'src/scripts/%' THEN 1 ELSE 999 END AS pattern, len(string_split(path, '/'))::INT AS depth FROM p""",
-)
-def path_priority(spark, sf_dir):
-    path = F.expr("concat(CASE p_size % 3 WHEN 0 THEN 'examples/' WHEN 1 THEN 'src/scripts/' ELSE '' END, p_type, '.py')")
-    return read(spark, sf_dir, "part").select("p_partkey", M.path_priority(path).alias("x")).select("p_partkey", "x.*")
+    return M.section_lookup(read(spark, sf_dir, "part").selectExpr("p_brand AS doc", "CASE WHEN p_size % 5 = 0 THEN concat('hot gear.', p_size) ELSE cast(p_partkey AS string) END AS id", "p_name AS title", "p_partkey AS pos"), " Hot Gear ")
 
 
 @query("reused_ids", "SELECT conv_id AS session_id, turn AS index, role, CASE WHEN turn % 2 = 0 THEN 'old-' || turn ELSE 'new-' || turn END AS id FROM conversations")

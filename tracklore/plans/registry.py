@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from tracklore.plans import kpi, message, sequence, table, text  # noqa: E402, F401
+from tracklore.plans import catalog, kpi, message, sequence, table, text, trajectory  # noqa: E402, F401

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tracklore.functions import redact, text
+from tracklore.functions import formats, redact, text
 from tracklore.operators import search
 from tracklore.plans.registry import query
 
@@ -20,15 +20,14 @@ _SECRETS = (
 _INJECT = "CASE doc_id % 8 " + " ".join(f"WHEN {i} THEN text || {s}" for i, s in enumerate(_SECRETS)) + " END"
 
 
-def _redact_sql(column: str) -> str:
-    out = column
-    for pattern, to in redact.RULES:
-        out = f"regexp_replace({out}, '{pattern.replace('(?!ant-)', '')}', '{to}', 'g')"
-    last = redact.ASSIGNMENT.replace("'", "''")
-    return f"regexp_replace({out}, '{last}', '\\1=[REDACTED]', 'g')"
+_REDACTED = f"""WITH a AS (SELECT doc_id, {_INJECT} AS t FROM documents), b AS (SELECT doc_id, regexp_replace(t, 'hf_[A-Za-z0-9]{{30,}}', '[REDACTED_HF_TOKEN]', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(t, 'sk-ant-[A-Za-z0-9_-]{{20,}}', '[REDACTED_ANTHROPIC_KEY]', 'g') AS t FROM b), d AS (SELECT doc_id, regexp_replace(t, 'sk-[A-Za-z0-9_-]{{40,}}', '[REDACTED_OPENAI_KEY]', 'g') AS t FROM c),
+e AS (SELECT doc_id, regexp_replace(t, 'gh[pousr]_[A-Za-z0-9]{{36,}}|github_pat_[A-Za-z0-9_]{{36,}}', '[REDACTED_GITHUB_TOKEN]', 'g') AS t FROM d), f AS (SELECT doc_id, regexp_replace(t, '\\b(AKIA|ASIA)[A-Z0-9]{{16}}\\b', '[REDACTED_AWS_KEY_ID]', 'g') AS t FROM e),
+g AS (SELECT doc_id, regexp_replace(t, '(?i)bearer\\s+[A-Za-z0-9_.=-]{{20,}}', 'Bearer [REDACTED]', 'g') AS t FROM f)
+SELECT doc_id, regexp_replace(t, '(?i)\\b(hf_token|huggingfacehub_api_token|anthropic_api_key|openai_api_key|github_token|aws_secret_access_key|aws_access_key_id|password|secret|api_key)\\s*[:=]\\s*[^\\s"'']+', '\\1=[REDACTED]', 'g') AS text FROM g"""
 
 
-@query("redact_text", f"SELECT doc_id, {_redact_sql(_INJECT)} AS text FROM documents")
+@query("redact_text", _REDACTED)
 def redact_text(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", redact.redacted(F.expr(_INJECT)).alias("text"))
 
@@ -43,9 +42,9 @@ def head_tail_truncate(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", text.head_tail(F.col("text"), 1000).alias("text"))
 
 
-@query("glimpse", "SELECT doc_id, CASE WHEN length(text) > 200 THEN left(text, 197) || '...' ELSE text END AS glimpse, left(md5(text), 12) AS digest FROM documents")
+@query("glimpse", "SELECT doc_id, CASE WHEN length(text) > 200 THEN left(text, 200) || '...' ELSE text END AS glimpse, left(md5(text), 12) AS digest FROM documents")
 def glimpse(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", text.truncate(F.col("text"), 200).alias("glimpse"), F.left(F.md5("text"), F.lit(12)).alias("digest"))
+    return documents(spark, sf_dir).select("doc_id", formats.ellipsis(F.col("text"), 200).alias("glimpse"), F.left(F.md5("text"), F.lit(12)).alias("digest"))
 
 
 _LINES = "l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1)::INT AS n FROM documents)"
@@ -101,9 +100,53 @@ def doc_search_bm25(spark, sf_dir):
     return search.bm25(documents(spark, sf_dir), "doc_id", "text", ["the", "and", "with", "erth"], 20)
 
 
-@query("nav_links", """SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages""")
+_ENDING = "CASE WHEN w LIKE '%sses' AND length(w) >= 6 THEN left(w, length(w) - 2) WHEN w LIKE '%ies' AND length(w) >= 6 THEN left(w, length(w) - 3) || 'y' WHEN w LIKE '%ing' AND length(w) >= 7 THEN left(w, length(w) - 3) WHEN w LIKE '%ed' AND length(w) >= 6 THEN left(w, length(w) - 2) WHEN w LIKE '%ly' AND length(w) >= 6 THEN left(w, length(w) - 2) WHEN w LIKE '%es' AND length(w) >= 6 THEN left(w, length(w) - 2) WHEN w LIKE '%s' AND w NOT LIKE '%ss' AND length(w) >= 5 THEN left(w, length(w) - 1) ELSE w END"
+
+
+@query(
+    "docs_search",
+    f"""WITH d AS (SELECT doc_id, left(text, 60) AS title, text AS content FROM documents), t AS (SELECT doc_id, 0 AS f, 2.0 AS weight, unnest(regexp_extract_all(lower(title), '[a-z]+')) AS w FROM d UNION ALL SELECT doc_id, 1, 1.0, unnest(regexp_extract_all(lower(content), '[a-z]+')) FROM d),
+r AS (SELECT doc_id, f, weight, {_ENDING} AS w FROM t), n AS (SELECT doc_id, f, count(*) AS len FROM r GROUP BY ALL), s AS (SELECT f, count(*)::DOUBLE AS docs, avg(len) AS mean FROM n GROUP BY f),
+q AS (SELECT doc_id, f, any_value(weight) AS weight, w, count(*) AS tf FROM r WHERE w IN ('with', 'erth') GROUP BY doc_id, f, w), g AS (SELECT f, w, count(*) AS df FROM q GROUP BY ALL)
+SELECT doc_id, round(sum(weight * ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 4)::DOUBLE AS score FROM q JOIN g USING (f, w) JOIN n USING (doc_id, f) JOIN s USING (f) GROUP BY doc_id ORDER BY score DESC, doc_id LIMIT 20""",
+)
+def docs_search(spark, sf_dir):
+    pages = documents(spark, sf_dir).select("doc_id", F.left("text", F.lit(60)).alias("title"), F.col("text").alias("content"))
+    return search.docs_search(pages, "doc_id", "Erths with")
+
+
+@query("docs_search_fallback", "SELECT doc_id, NULL::DOUBLE AS score FROM documents ORDER BY doc_id LIMIT 20")
+def docs_search_fallback(spark, sf_dir):
+    pages = documents(spark, sf_dir).select("doc_id", F.lit("").alias("title"), F.col("text").alias("content"))
+    return search.docs_search(pages, "doc_id", "qqqqzzzz")
+
+
+_ENDPOINTS = ("concat('/', p_partkey) AS path", "'get' AS method", "p_name AS summary", "p_type AS operationId", "p_brand AS description", "CASE WHEN p_size % 2 = 0 THEN 'hub even' ELSE 'odd' END AS tags", "'' AS param_names")
+
+
+@query("endpoint_search")
+def endpoint_search(spark, sf_dir):
+    return search.endpoint_search(spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(*_ENDPOINTS), "blue gears", "even")
+
+
+@query("endpoint_search_by_tag", "SELECT '/' || p_partkey AS path, p_name AS summary, NULL::DOUBLE AS score FROM part WHERE p_size % 2 = 0")
+def endpoint_search_by_tag(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(*_ENDPOINTS)
+    return search.endpoint_search(rows, "qqqqzzzz", "even").select("path", "summary", "score")
+
+
+@query("paper_outline")
+def paper_outline(spark, sf_dir):
+    return search.papers(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id", "html")
+
+
+_NAV = "n AS (SELECT page_id, regexp_extract(html, '(?s)<nav[^>]*>(.*?)</nav>', 1) AS nav FROM pages)"
+
+
+@query("nav_links", f"""WITH {_NAV}, l AS (SELECT page_id, unnest(regexp_extract_all(nav, '<a href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(nav, '<a href="([^"]*)"', 1), 1)::INT - 1 AS index FROM n)
+SELECT page_id, index, CASE WHEN starts_with(href, '/') THEN 'https://x' ELSE '' END || href AS url FROM l""")
 def nav_links(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'))).alias("href"))
+    return search.nav_links(spark.read.parquet(f"{sf_dir}/pages.parquet"), "page_id", "html", "https://x").select("page_id", "index", "url")
 
 
 @query("page_title", "SELECT page_id, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS title, len(regexp_extract_all(html, '<p[ >]'))::INT AS paragraphs FROM pages")
