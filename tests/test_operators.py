@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tracklore.functions import redact, text
-from tracklore.operators import rules, sequences, tags
+from tracklore.operators import datasets, repos, rules, search, sequences, tags, trajectories
 from tracklore.sources import event_log, readers, sinks
 from tracklore.streaming import rollup
 
@@ -73,6 +73,13 @@ def test_redaction_native_equals_walk_and_is_idempotent(spark):
     nested = json.dumps({"a": ["SECRET=x\nnext", 3], "HF_TOKEN": {"b": CASES[0]}})
     out = json.loads(spark.createDataFrame([(nested,)], "j string").select(redact.scrub_json("j").alias("j")).first().j)
     assert out == {"a": ["SECRET=[REDACTED]\nnext", 3], "HF_TOKEN": {"b": "token [REDACTED_HF_TOKEN]"}}
+    deep = "SECRET=x"
+    for _ in range(5000):
+        deep = [deep]
+    deep = redact.scrub(deep)
+    while isinstance(deep, list):
+        deep = deep[0]
+    assert deep == "SECRET=[REDACTED]"
 
 
 def test_text_functions(spark):
@@ -83,10 +90,12 @@ def test_text_functions(spark):
     assert one(text.strip_control(F.lit("a\x00b\nc\td"))) == "ab\nc\td"
     assert one(text.normalise(F.lit("‘a’ “b” –"))) == "'a' \"b\" -"
     assert one(tags.model_family(F.lit("x/Claude-Opus"))) == "opus" and one(tags.model_family(F.lit(None).cast("string"))) == "other"
-    assert one(tags.out_of_memory(F.lit("a room"))) and not one(tags.out_of_memory(F.lit("a room"), words=True))
+    assert one(tags.out_of_memory(F.lit("a room"))) and one(tags.out_of_memory(F.lit("torch.OutOfMemoryError"))) and not one(tags.out_of_memory(F.lit("fine")))
     assert one(rules.retry_delay(F.lit("transient"), F.lit(1))) == 15 and one(rules.retry_delay(F.lit("transient"), F.lit(7))) is None
-    task = tags.task(F.array(F.lit("plan")), F.array().cast("array<string>"), ["plan"], ["dataset_tools"])
-    assert one(task) == "research_only"
+    lists = lambda *x: F.array(*map(F.lit, x)).cast("array<string>")
+    task = lambda tools, *scripts: one(trajectories.task(lists(*tools), lists(*scripts)))
+    assert [task(["plan"]), task(["plan", "edit"]), task([]), task(["hf_jobs"], "echo", "x = SFTTrainer()")] == ["research_only", None, None, "training"]
+    assert [task(["generate"]), task(["generate", "sandbox_exec"]), task(["dataset_tools"]), task(["hf_inspect_dataset", "plan"])] == ["inference", None, "data_prep", "data_prep"]
 
 
 def test_session_files_and_log(spark, tmp_path):
@@ -107,11 +116,16 @@ def test_readers(spark, tmp_path):
     (tmp_path / "session_2.json").write_text('{"session_id": "2", "upload_status": "success"}')
     (tmp_path / "session_3.json").write_text("{")
     assert [r.session_id for r in readers.unsent_logs(spark, str(tmp_path)).collect()] == ["1"]
-    assert readers.file_tree(spark, str(tmp_path)).count() == 3
+    tree = readers.file_tree(spark, str(tmp_path))
+    assert tree.count() == 3 and tuple(readers.tree_size(tree).first()) == (3, sum(f.stat().st_size for f in tmp_path.iterdir()))
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "t.txt").write_text("é" * 9)
+    (tmp_path / "b" / "b.bin").write_bytes(b"\xff\xfe\x00")
+    assert {r.path.rsplit("/", 1)[1]: r.text for r in readers.text_files(spark, str(tmp_path / "b"), 5).collect()} == {"t.txt": "é" * 5, "b.bin": "[Binary file, 3 bytes]"}
     (tmp_path / "c.json").write_text('{"a": "${X_A:-d}", "b": ["${X_B}"]}')
     assert readers.config(str(tmp_path / "c.json"), {"X_B": "v"}) == {"a": "d", "b": ["v"]}
-    spec = spark.createDataFrame([('{"paths": {"/a": {"get": {"summary": "s", "tags": ["x", "y"]}, "x-own": {}}}}',)], "value string")
-    assert [(r.path, r.method, r.summary, r.tags) for r in readers.endpoints(spec).collect()] == [("/a", "get", "s", "x y")]
+    spec = spark.createDataFrame([('{"paths": {"/a": {"get": {"summary": "s", "tags": ["x", "y"], "parameters": [{"name": "p"}, {"name": "q"}]}, "x-own": {}}}}',)], "value string")
+    assert [(r.path, r.method, r.summary, r.tags, r.param_names) for r in readers.endpoints(spec).collect()] == [("/a", "get", "s", "x y", "p q")]
     one = lambda c: spark.range(1).select(c.alias("x")).first().x
     assert one(readers.base64_text(F.lit("aGk="))) == "hi"
     cells = F.from_json(F.lit('[{"type":"code","source":"x","tags":["hide"]},{"type":"markdown","source":"# t"},{"type":"code","source":"y"}]'), "array<struct<type:string,source:string,tags:array<string>>>")
@@ -122,9 +136,11 @@ def test_paged_source(spark):
     def fetch(page, size):
         return [(i,) for i in range(page * size, min(25, (page + 1) * size))]
 
-    spark.dataSource.register(readers.paged_source("numbers", "n int", fetch, size=10, pages=5))
+    spark.dataSource.register(readers.paged_source("numbers", "n int", fetch, size=10))
     assert spark.read.format("numbers").load().count() == 25
     assert spark.read.format("numbers").option("limit", 12).load().count() == 12
+    spark.dataSource.register(readers.paged_source("many", "n int", lambda page, size: [(i,) for i in range(page * size, min(20_000, (page + 1) * size))], size=10, stripes=3))
+    assert spark.read.format("many").load().distinct().count() == 20_000
 
 
 def test_sinks_replace_their_partitions(spark, tmp_path):
@@ -163,7 +179,113 @@ def test_counter_state(spark, stream, tmp_path):
     df.write.parquet(str(tmp_path / "in"))
     q = rollup.daily_counter(stream(str(tmp_path / "in"), df.schema)).writeStream.format("memory").queryName("used").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
-    assert [tuple(r) for r in spark.table("used").collect()] == [(1, "2024-01-02", 5)]
+    assert sorted(tuple(r) for r in spark.table("used").collect()) == [(1, "2024-01-01", 2), (1, "2024-01-02", 5)]
+
+
+def test_a_late_day_does_not_reset_a_later_one(spark, stream, tmp_path):
+    make = lambda rows: spark.createDataFrame(rows, "user_id long, event_id long, t string, op string").selectExpr("user_id", "event_id", "cast(t AS timestamp) AS ts", "op")
+    make([(1, i, "2024-01-02 00:00:00", "inc") for i in range(4)]).write.parquet(str(tmp_path / "in"))
+    source, out = stream(str(tmp_path / "in"), make([(1, 0, "2024-01-01", "inc")]).schema), str(tmp_path / "state")
+    for later in (None, make([(1, 9, "2024-01-01 00:00:00", "inc")]), make([(1, 10, "2024-01-02 00:00:00", "inc")])):
+        if later is not None:
+            later.write.mode("append").parquet(str(tmp_path / "in"))
+        q = rollup.daily_counter(source).writeStream.foreachBatch(lambda b, i: b.write.mode("append").parquet(str(tmp_path / "seen"))).option("checkpointLocation", out).outputMode("update").trigger(availableNow=True).start()
+        q.awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "seen")).collect()) == [(1, "2024-01-01", 1), (1, "2024-01-02", 4), (1, "2024-01-02", 5)]
+
+
+def test_chunks_of_a_stream(spark, stream, tmp_path):
+    kinds = "session_id string, pos long, event_type string, content string, call_id string, tool string, success boolean"
+    rows = [
+        ("s", 1, "processing", None, None, None, None), ("s", 2, "assistant_chunk", "he", None, None, None), ("s", 3, "assistant_chunk", "llo", None, None, None), ("s", 4, "tool_call", "{}", "c1", "search", None),
+        ("s", 5, "tool_output", "bad", "c1", "search", False), ("s", 6, "tool_call", "{}", "c2", "plan_tool", None), ("s", 7, "assistant_message", "done", None, None, None), ("s", 8, "tool_state_change", "cancelled", "c3", "x", None), ("s", 9, "turn_complete", None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, kinds)
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    q = rollup.chunks(stream(str(tmp_path / "in"), df.schema)).writeStream.format("memory").queryName("chunks").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = [(r.type, r.id, r.body) for r in spark.table("chunks").orderBy("pos", "n").collect()]
+    assert got == [
+        ("start", "", ""), ("start-step", "", ""), ("text-start", "text-1", ""), ("text-delta", "text-1", "he"), ("text-delta", "text-1", "llo"), ("text-end", "text-1", ""), ("tool-input-start", "c1", "search"),
+        ("tool-input-available", "c1", "{}"), ("tool-output-error", "c1", "bad"), ("text-start", "text-2", ""), ("text-delta", "text-2", "done"), ("text-end", "text-2", ""), ("tool-output-error", "c3", "Cancelled by user"), ("finish-step", "", ""), ("finish", "", "stop"),
+    ]
+
+
+def test_fan_out_and_hours(spark, tmp_path):
+    events = spark.createDataFrame([("a", 1), ("b", 2)], "session_id string, pos int")
+    to = spark.createDataFrame([("a", "x"), ("a", "y")], "session_id string, subscriber string")
+    rollup.write_each(rollup.fan_out(events, to), str(tmp_path / "out"))
+    assert sorted((r.subscriber, r.pos) for r in spark.read.json(str(tmp_path / "out")).collect()) == [("x", 1), ("y", 1)]
+    hours = spark.range(1).select(trajectories.hours_to_run(F.lit("2024-01-01 02:30:00").cast("timestamp"), 2).alias("h")).first().h
+    assert [str(h) for h in hours] == ["2024-01-01 01:00:00", "2024-01-01 00:00:00"]
+
+
+def test_status_spill_and_cache_sinks(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "new", "2024-01-01"), ("b", "new", "2024-01-01"), ("c", "new", "2024-01-02")], "session_id string, status string, date string")
+    folder = str(tmp_path / "t")
+    rows.write.partitionBy("date").parquet(folder)
+    sinks.write_status(rows, spark.createDataFrame([("a", "success")], "session_id string, status string"), folder)
+    assert sorted((r.session_id, r.status) for r in spark.read.parquet(folder).collect()) == [("a", "success"), ("b", "new"), ("c", "new")]
+    sinks.write_spills(spark.createDataFrame([(1, "x" * 9), (2, "y")], "id int, text string"), str(tmp_path / "s"), "id", "text", 5)
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "s")).collect()] == [1]
+    cached = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, at int")
+    assert sorted(r.k for r in sinks.newest(cached, 2, "at").collect()) == ["b", "c"]
+    assert sorted((r.k, r["at"]) for r in sinks.rekeyed(cached, "k", "a", "b").collect()) == [("b", 1), ("c", 3)]
+    shaped = spark.createDataFrame([("s", "2024-01-01", "[]"), ("t", None, "[]")], "session_id string, day string, tools string")
+    sinks.write_sft(shaped, str(tmp_path / "sft"))
+    assert [r.session_id for r in spark.read.json(str(tmp_path / "sft")).collect()] == ["s"]
+
+
+def test_content_blocks(spark):
+    kinds = "array<struct<kind:string,text:string,mime:string,blob:string,uri:string>>"
+    rows = spark.createDataFrame([([("text", "a", None, None, None), ("image", None, "image/png", None, None), ("resource", "t", None, None, None), ("resource", None, "x/y", "QQ==", None), ("resource", "", None, None, "file:///z")],), (None,)], f"b {kinds}")
+    assert [r.t for r in rows.select(readers.content_blocks(F.col("b")).alias("t")).collect()] == ["a\n[Image: image/png]\nt\n[Binary data: x/y]\n[Resource: file:///z]", None]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text("ab_ ", max_size=9), st.text("ab_ ", max_size=9))
+def test_likeness_against_a_table(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    assert repos.common(a, b) == row[-1]
+    assert 0 <= repos.alike(a, b) <= 100 and repos.alike(a, a) == 100
+    assert repos.alike_in_part(a, b) >= repos.alike(a, b) - 1e-9 or len(a) != len(b)
+
+
+def test_example_files_by_likeness(spark):
+    paths = ["examples/train.py", "src/scripts/run.py", "src/core.py", "notebooks/train_gpt.ipynb", "docs/guide/x.md"]
+    files = spark.createDataFrame(list(enumerate(paths)), "i int, path string")
+    assert [r.path for r in repos.example_files(files, "i", "path", 9).collect()] == ["examples/train.py", "src/scripts/run.py", "notebooks/train_gpt.ipynb", "docs/guide/x.md"]
+    assert [r.path for r in repos.example_files(files, "i", "path", 9, "train").collect()] == ["examples/train.py", "notebooks/train_gpt.ipynb"]
+    assert repos.alike_by_words("examples", "examples/train.py") == 100 and repos.alike_in_part("train", "xx train yy") == 100
+
+
+def test_pages(spark):
+    html = '<nav class="flex-auto"><a href="/a">A <b>one</b></a><a href="http://b">B</a></nav><nav><a href="/c">C</a></nav><h1>Title: T</h1><h2>Abstract</h2><p>short</p><h2>1.2 Method</h2><p>long</p><h3>3</h3>'
+    pages = spark.createDataFrame([(1, html), (2, None)], "k long, html string")
+    links = search.nav_links(pages, "k", "html", "http://x", "flex-auto")
+    assert [(r.url, r.title) for r in links.orderBy("index").collect()] == [("http://x/a", "A one"), ("http://b", "B")]
+    assert [(r.level, r.title, r.text, r.id) for r in search.sections(pages, "k", "html").orderBy("index").collect()] == [(1, "Title: T", "", ""), (2, "Abstract", "short", ""), (2, "1.2 Method", "long", "1.2"), (3, "3", "", "")]
+    assert tuple(search.papers(pages, "k", "html").first()) == (1, " T", "short", 2)
+    content = spark.createDataFrame([("http://x/a", "  " + "z" * 300)], "url string, content string")
+    assert [r.glimpse for r in search.crawled(links, content).orderBy("index").collect()] == ["z" * 200 + "...", "[Could not fetch]"]
+
+
+def test_endpoint_search(spark):
+    rows = [("/a", "get", "list models", "listModels", "all of them", "hub", "limit"), ("/b", "post", "make a repository", "createRepo", "with models", "hub repos", ""), ("/c", "get", "who am i", "whoami", "", "auth", "token")]
+    spec = spark.createDataFrame(rows, "path string, method string, summary string, operationId string, description string, tags string, param_names string")
+    assert [r.path for r in search.endpoint_search(spec, "model", None).orderBy(F.desc("score")).collect()] == ["/a", "/b"]
+    assert [r.path for r in search.endpoint_search(spec, "model", "repos").collect()] == ["/b"]
+    assert [(r.path, r.score) for r in search.endpoint_search(spec, "nothing", "auth").collect()] == [("/c", None)]
+    assert search.endpoint_search(spec, "nothing", None).count() == 0 and search.endpoint_search(spec, None, "hub").count() == 2
+
+
+def test_schema_rows(spark):
+    assert datasets.schema_rows(spark.createDataFrame([(1, ["a"])], "a int, b array<string>")) == [("a", "int"), ("b", "array<string>")]
 
 
 def test_stream_shapes(spark):

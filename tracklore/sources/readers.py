@@ -28,13 +28,25 @@ def unsent_logs(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.select(*map(pick, ("session_id", "upload_status", "upload_url", "last_save_time"))).filter(F.col("upload_status").isin("pending", "failed"))
 
 
-def file_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths and sizes of all files, by path; contents are not read."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", F.col("length").alias("size")).orderBy("path")
+def file_tree(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
+    """Paths and sizes of all files, by path; folders are no rows and contents are not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).select("path", F.col("length").alias("size")).orderBy("path")
+
+
+def tree_size(tree: DataFrame) -> DataFrame:
+    return tree.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("size"))
 
 
 def text_files(spark: SparkSession, folder: str, cap: int = 100_000) -> DataFrame:
-    return spark.read.text(folder, wholetext=True, recursiveFileLookup=True).select(F.input_file_name().alias("path"), F.left("value", F.lit(cap)).alias("text"))
+    """Texts of at most so many characters; of a file that is no text, only that and its size."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    note = F.format_string("[Binary file, %d bytes]", "length")
+    return files.select("path", F.when(F.is_valid_utf8(F.col("content")), F.left(F.decode("content", "UTF-8"), F.lit(cap))).otherwise(note).alias("text"))
+
+
+def job_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of lines of growing log folders, with the file each comes from; a restart goes on after what was read."""
+    return spark.readStream.option("recursiveFileLookup", True).text(folder).select(F.input_file_name().alias("path"), F.col("value").alias("line"))
 
 
 def base64_text(column: Column) -> Column:
@@ -43,8 +55,10 @@ def base64_text(column: Column) -> Column:
 
 
 def content_blocks(blocks: Column) -> Column:
-    """Blocks (kind, text, mime) to one text: images and blobs as placeholders."""
-    one = lambda b: F.when(b.kind == "text", b.text).when(b.kind == "image", F.concat(F.lit("[Image: "), b.mime, F.lit("]"))).when(b.kind == "resource", F.coalesce(b.text, F.concat(F.lit("[Binary data: "), b.mime, F.lit("]"))))
+    """Blocks (kind, text, mime, blob, uri) to one text: images, blobs and bare resources as placeholders."""
+    given = lambda c: F.nullif(c, F.lit(""))
+    resource = lambda b: F.coalesce(given(b["text"]), F.when(given(b["blob"]).isNotNull(), F.concat(F.lit("[Binary data: "), F.coalesce(b["mime"], F.lit("unknown")), F.lit("]"))), F.concat(F.lit("[Resource: "), F.coalesce(b["uri"], F.lit("unknown")), F.lit("]")))
+    one = lambda b: F.when(b["kind"] == "text", b["text"]).when(b["kind"] == "image", F.concat(F.lit("[Image: "), b["mime"], F.lit("]"))).when(b["kind"] == "resource", resource(b)).otherwise(b["text"])
     return F.array_join(F.filter(F.transform(blocks, one), lambda x: x.isNotNull()), "\n")
 
 
@@ -54,16 +68,19 @@ def notebook_text(cells: Column, hidden: tuple[str, ...] = ("hide", "hidden", "r
     return F.array_join(F.transform(shown, lambda c: F.when(c.type == "code", F.concat(F.lit("```python\n"), c.source, F.lit("\n```"))).otherwise(c.source)), "\n\n")
 
 
+#: Methods of an API description. Fixed values.
+METHODS = ("get", "post", "put", "patch", "delete", "head", "options")
+
+
 def endpoints(spec: DataFrame, column: str = "value") -> DataFrame:
-    """path and method of each operation of an API description, with its texts."""
-    spec.select(F.try_parse_json(column).alias("doc")).createOrReplaceTempView("_spec")
-    text = lambda n: f"try_variant_get(m.value, '$.{n}', 'string') AS {n}"
-    return spec.sparkSession.sql(
-        f"""SELECT p.key AS path, m.key AS method, {text('operationId')}, {text('summary')}, {text('description')},
-              array_join(try_variant_get(m.value, '$.tags', 'array<string>'), ' ') AS tags
-            FROM _spec, LATERAL variant_explode(variant_get(doc, '$.paths')) AS p, LATERAL variant_explode(p.value) AS m
-            WHERE m.key IN ('get', 'post', 'put', 'patch', 'delete', 'head', 'options')"""
-    )
+    """path and method of each operation of an API description, with its texts and the names of its parameters."""
+    tvf = spec.sparkSession.tvf
+    paths = spec.select(F.try_variant_get(F.try_parse_json(column), "$.paths", "variant").alias("paths"))
+    each = paths.lateralJoin(tvf.variant_explode(F.col("paths").outer())).select(F.col("key").alias("path"), F.col("value").alias("operations"))
+    each = each.lateralJoin(tvf.variant_explode(F.col("operations").outer())).filter(F.col("key").isin(*METHODS))
+    text = lambda n: F.try_variant_get("value", f"$.{n}", "string").alias(n)
+    names = F.transform(F.try_variant_get("value", "$.parameters", "array<variant>"), lambda p: F.coalesce(F.try_variant_get(p, "$.name", "string"), F.lit("")))
+    return each.select("path", F.col("key").alias("method"), *map(text, ("operationId", "summary", "description")), F.array_join(F.try_variant_get("value", "$.tags", "array<string>"), " ").alias("tags"), F.coalesce(F.array_join(names, " "), F.lit("")).alias("param_names"))
 
 
 _ENV = re.compile(r"\$\{(\w+)(?::-([^}]*))?\}")
@@ -84,20 +101,26 @@ def config(path: str, environment: dict[str, str] | None = None) -> dict:
         return filled(json.load(f))
 
 
-def paged_source(name: str, schema: str, fetch: Callable[[int, int], list[tuple]], size: int = 100, pages: int = 50) -> type[DataSource]:
-    """A batch data source over a paged API: fetch(page, size) gives rows; a partition is a page, and a short or empty page
-    is the end. The option `limit` bounds the rows."""
+def paged_source(name: str, schema: str, fetch: Callable[[int, int], list[tuple]], size: int = 100, stripes: int = 4) -> type[DataSource]:
+    """A batch data source over a paged API: fetch(page, size) gives the rows of a page. Partition i of `stripes` reads pages
+    i, i + stripes, and so on, and ends at a short or empty page, so that no number of pages has to be known. The option
+    `limit` bounds the rows."""
 
     class Reader(DataSourceReader):
-        def __init__(self, limit: int):
+        def __init__(self, limit: int | None):
             self.limit = limit
 
         def partitions(self):
-            return [InputPartition(p) for p in range(min(pages, -(-self.limit // size)))]
+            return [InputPartition(i) for i in range(stripes)]
 
         def read(self, partition) -> Iterator[tuple]:
-            rows = fetch(partition.value, size)
-            yield from rows[: max(0, self.limit - partition.value * size)]
+            page = partition.value
+            while self.limit is None or page * size < self.limit:
+                rows = fetch(page, size)
+                yield from rows if self.limit is None else rows[: self.limit - page * size]
+                if len(rows) < size:
+                    return
+                page += stripes
 
     class Paged(DataSource):
         @classmethod
@@ -108,6 +131,7 @@ def paged_source(name: str, schema: str, fetch: Callable[[int, int], list[tuple]
             return schema
 
         def reader(self, schema):
-            return Reader(int(self.options.get("limit", size * pages)))
+            limit = self.options.get("limit")
+            return Reader(None if limit is None else int(limit))
 
     return Paged

@@ -30,9 +30,22 @@ def write_kpis(rows: DataFrame, folder: str) -> None:
 
 
 def write_sft(rows: DataFrame, folder: str) -> None:
-    """Training rows by day; rows without a session are dropped, missing tools become an empty list."""
-    kept = rows.filter("session_id IS NOT NULL").withColumn("tools", F.coalesce(F.col("tools"), F.lit("[]")))
-    _partitioned(kept, ["day"]).json(folder)
+    """Training rows (operators/trajectories.training_rows) as JSON lines by day."""
+    _partitioned(rows.filter("day IS NOT NULL"), ["day"]).json(folder)
+
+
+def write_status(rows: DataFrame, updates: DataFrame, folder: str, key: str = "session_id", by: str = "date") -> None:
+    """The status of some rows of a table that is partitioned by `by`: only their partitions are written anew. `updates` has
+    the key and the status."""
+    new = updates.select(key, F.col("status").alias("_new"))
+    touched = rows.join(new.select(key), key, "left_semi").select(by).distinct()
+    changed = rows.join(touched, by, "left_semi").join(new, key, "left").withColumn("status", F.coalesce("_new", "status")).drop("_new")
+    _partitioned(changed.select(*rows.columns), [by]).parquet(folder)
+
+
+def write_spills(outputs: DataFrame, folder: str, key: str, text: str, most: int) -> None:
+    """Whole outputs that are shown shortened, beside the table that shows them."""
+    outputs.filter(F.length(text) > most).select(key, text).write.mode("overwrite").parquet(folder)
 
 
 def save_one(text: str, path: str) -> None:
@@ -45,5 +58,11 @@ def save_one(text: str, path: str) -> None:
 
 
 def newest(rows: DataFrame, k: int, inserted: str) -> DataFrame:
-    """The k rows inserted last: a bounded cache."""
+    """The k rows inserted last: a bounded cache that forgets the oldest."""
     return rows.orderBy(F.desc(inserted)).limit(k)
+
+
+def rekeyed(rows: DataFrame, key: str, old: str, new: str) -> DataFrame:
+    """A row moved from one key to another; what the other key held goes."""
+    kept = rows.filter(~F.col(key).eqNullSafe(F.lit(new)))
+    return kept.withColumn(key, F.when(F.col(key) == old, F.lit(new)).otherwise(F.col(key)))
