@@ -153,7 +153,10 @@ def test_chat_round_trip(spark):
     ]
     turns = spark.createDataFrame(rows, TURNS)
     formatted = chat.format_turns(turns)
-    got = {r.conv_id: r for r in chat.read_back(formatted).collect()}
+    got = {r.conv_id: r for r in chat.read_back(chat.format_conversations(turns)).collect()}
+    # Parts of any size, which cut escapes and closing strings in two, read alike.
+    for size in (1, 2, 3, 7, 16):
+        assert {r.conv_id: r for r in chat.read_back(chat.format_conversations(turns, size=size)).collect()} == got
     form = chat.Formatter()
     for conv in {r[0] for r in rows}:
         own = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0, r[2] or "", r[3] or ""))
@@ -167,7 +170,12 @@ def test_chat_round_trip(spark):
         assert r.formatted_chars == len(whole)
         assert [form.turn(x) for x in form.split(whole)] == said
     assert got[1].valid and not got[2].valid and not got[3].valid and not got[4].valid
-    assert chat.read_back(chat.format_turns(turns.limit(0))).count() == 0
+    assert chat.read_back(chat.format_conversations(turns.limit(0))).count() == 0
+    parts = chat.format_conversations(turns, size=5).collect()
+    for conv in got:
+        own = sorted((r.part, r.text) for r in parts if r.conv_id == conv)
+        assert [p for p, _ in own] == list(range(len(own)))
+        assert "".join(t for _, t in own) == next(x.formatted for x in chat.conversations(formatted).collect() if x.conv_id == conv)
 
 
 def test_chat_query_has_the_added_conversation(spark):

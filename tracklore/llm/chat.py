@@ -11,11 +11,13 @@ Null text is empty; null roles are the empty role, which no template lists: such
 are kept as turns of their own. A null conv_id is a conversation of its own. Extra columns are ignored.
 
 Rows are dealt by conversation and sorted there by Spark, which spills; turns then stream through, so that of a
-conversation only the machine's state, or a digest's, is held."""
+conversation at most a turn, the machine's state and digests are held. The output comes by turns with their segments, or as
+whole conversations in parts of fixed size with a loss mask; read_back() parses these parts alone."""
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -97,6 +99,11 @@ def _ordered(turns: DataFrame) -> DataFrame:
     return picked.repartition(count, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
 
+#: Characters of one part of a formatted conversation.
+PART = 4096
+_PARTS = [T.StructField("part", T.LongType()), T.StructField("text", T.StringType()), T.StructField("loss", T.ArrayType(T.IntegerType())), T.StructField("allowed", T.BooleanType())]
+
+
 def format_turns(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
     """Per turn: conv_id, index in its conversation, segments (opening, body, closing), loss flag of the body, and whether
     the machine allows its role there."""
@@ -119,47 +126,123 @@ def format_turns(turns: DataFrame, template: Template = DEFAULT) -> DataFrame:
     return _ordered(turns).mapInArrow(run, schema)
 
 
-def read_back(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
-    """Digests per conversation, from formatted turns in their order: what a reader of the output sees.
-
-    Rows stream through: of a conversation only hash states are held."""
-    schema = T.StructType(
-        [formatted.schema["conv_id"], T.StructField("n_turns", T.LongType()), T.StructField("turns_sha256", T.StringType()), T.StructField("loss_chars", T.LongType()), T.StructField("loss_sha256", T.StringType()), T.StructField("formatted_chars", T.LongType()), T.StructField("valid", T.BooleanType())]
-    )
+def format_conversations(turns: DataFrame, template: Template = DEFAULT, size: int = PART) -> DataFrame:
+    """The formatted conversations in parts of `size` characters, whatever the turns: conv_id, part (from 0), text, loss (start
+    and stop, in the part, of each stretch that is trained on), and whether the machine allows all roles so far."""
+    schema = T.StructType([turns.schema["conv_id"], *_PARTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form, held = Formatter(template), None
+        form, conv, state, kind = Formatter(template), object(), "", None
+        waiting: list[tuple[str, bool]] = []  # segments that fill no part yet
+        length = part = 0
+        good = True
+        rows: list[tuple] = []
+
+        def filled(last: bool) -> None:
+            """Cuts whole parts off what waits; at a conversation's end also what is left."""
+            nonlocal waiting, length, part
+            if length < size and not (last and (length or not part)):
+                return
+            whole = "".join(piece for piece, _ in waiting)
+            ends = [0, *itertools.accumulate(len(piece) for piece, _ in waiting)]
+            trained = [(x, y) for x, y, (_, loss) in zip(ends, ends[1:], waiting) if loss and y > x]
+            stop = length if last else length - length % size
+            for a in range(0, max(stop, 1), size):
+                b = min(a + size, stop)
+                spans = [z for x, y in trained if x < b and y > a for z in (max(x, a) - a, min(y, b) - a)]
+                rows.append((conv, part, whole[a:b], spans, good))
+                part += 1
+            waiting = [(whole[max(x, stop) : y], loss) for x, y, (_, loss) in zip(ends, ends[1:], waiting) if y > stop]
+            length -= stop
+
+        def out() -> pa.RecordBatch:
+            types = [kind, pa.int64(), pa.string(), pa.list_(pa.int32()), pa.bool_()]
+            made = pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types, strict=True)], schema.names)
+            rows.clear()
+            return made
+
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for c, role, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if c != conv:
+                    if part or length:
+                        filled(True)
+                    conv, state, waiting, length, part, good = c, "", [], 0, 0, True
+                good &= form.step(state, role)
+                state = role
+                for piece, loss in form.segments(role, text):
+                    waiting.append((piece, loss))
+                    length += len(piece)
+                filled(False)
+            if rows:
+                yield out()
+        if part or length:
+            filled(True)
+            if rows:
+                yield out()
+
+    return _ordered(turns).mapInArrow(run, schema)
 
-        def out(rows):
-            types = [kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
-            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types, strict=True)], schema.names)
 
-        def done(x):
-            return (x[0], x[1], x[2].hexdigest(), x[3], x[4].hexdigest(), x[5], x[6])
+class _Reader:
+    """One conversation, read part by part: only characters and the loss mask over them are known, and turns end where an
+    unescaped closing string does. Holds the unread end, at most a turn, and digests."""
+
+    def __init__(self, form: Formatter, conv):
+        self.form, self.conv = form, conv
+        self.tail, self.seen, self.masked = "", 0, ""
+        self.turns = self.loss_chars = self.chars = 0
+        self.all, self.loss, self.valid = hashlib.sha256(), hashlib.sha256(), True
+
+    def add(self, text: str, loss: list[int], allowed: bool) -> None:
+        self.chars += len(text)
+        self.valid = allowed
+        self.masked += "".join(text[a:b] for a, b in zip(loss[::2], loss[1::2]))
+        # A backslash at the end waits for what it escapes.
+        ready = len(self.masked) - ((len(self.masked) - len(self.masked.rstrip("\\"))) % 2)
+        plain, self.masked = self.form.unescape(self.masked[:ready]), self.masked[ready:]
+        self.loss_chars += len(plain)
+        self.loss.update(plain.encode("utf-8", "replace"))
+        self.tail += text
+        closing, begin = self.form.template.closing, 0
+        while (end := self.tail.find(closing, max(begin, self.seen))) >= 0:
+            stop = end + len(closing)
+            role, said = self.form.turn(self.tail[begin:stop])
+            self.turns += 1
+            self.all.update(f"{role}\n{said}\n".encode("utf-8", "replace"))
+            begin, self.seen = stop, stop
+        self.tail = self.tail[begin:]
+        self.seen = max(0, len(self.tail) - len(closing) + 1)
+
+    def row(self) -> tuple:
+        if self.tail or self.masked:
+            raise ValueError(f"conversation {self.conv} does not end with a turn")
+        return self.conv, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.valid
 
+
+def read_back(formatted: DataFrame, template: Template = DEFAULT) -> DataFrame:
+    """Digests per conversation, from the parts of format_conversations() in their order: what a reader of the output sees."""
+    names = ("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
+    kinds = (T.LongType(), T.StringType(), T.LongType(), T.StringType(), T.LongType(), T.BooleanType())
+    schema = T.StructType([formatted.schema["conv_id"], *(T.StructField(n, k) for n, k in zip(names, kinds))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        form, reader, kind = Formatter(template), None, None
+        types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+        out = lambda rows: pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), [kind, *types], strict=True)], schema.names)
         for batch in batches:
             kind, rows = batch.schema.field(0).type, []
-            for conv, index, opening, body, closing, loss, allowed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if index == 0:
-                    if held:
-                        rows.append(done(held))
-                    held = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, True]
-                whole = opening + body + closing
-                role, text = form.turn(whole)
-                held[1] += 1
-                held[2].update(f"{role}\n{text}\n".encode("utf-8", "replace"))
-                if loss:
-                    plain = form.unescape(body)
-                    held[3] += len(plain)
-                    held[4].update(plain.encode("utf-8", "replace"))
-                held[5] += len(whole)
-                held[6] &= allowed
+            for conv, part, text, loss, allowed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part == 0:
+                    rows += [reader.row()] if reader else []
+                    reader = _Reader(form, conv)
+                reader.add(text, loss, allowed)
             if rows:
                 yield out(rows)
-        if held:
-            yield out([done(held)])
+        if reader:
+            yield out([reader.row()])
 
-    return formatted.select("conv_id", "index", *TURN.names, "allowed").mapInArrow(run, schema)
+    return formatted.select("conv_id", "part", "text", "loss", "allowed").mapInArrow(run, schema)
 
 
 def conversations(formatted: DataFrame) -> DataFrame:
