@@ -110,6 +110,16 @@ def test_groups_that_share_left_contexts_in_small_buckets(spark, monkeypatch, si
     assert _got(documents(spark, rows), 100, 32) == _brute(rows, 100)
 
 
+def test_long_texts_in_stretches(spark, monkeypatch):
+    from tracklore.llm import suffix_array
+
+    monkeypatch.setattr(suffix_array, "STRETCH", 150)
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(170))
+    rows = [(i, "".join(rng.choice("ijk ") for _ in range(rng.randrange(400))) + passage + "".join(rng.choice("ijk ") for _ in range(rng.randrange(400)))) for i in range(12)]
+    assert _got(documents(spark, [*rows, (99, "ab" * 300)]), 40, 16) == _brute([*rows, (99, "ab" * 300)], 40)
+
+
 def test_kept_text_has_whole_characters(spark):
     rows = [(1, "x" + "é" * 60 + "y"), (2, "ü" + "é" * 60 + "z")]
     for r in remove_repeats(documents(spark, rows), 100).collect():

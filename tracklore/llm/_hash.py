@@ -15,17 +15,25 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, *range(9, 14)]] = True
 
 
+#: Most powers that a worker keeps, and bytes whose words are hashed at once.
+KEPT, AT_ONCE = 1 << 22, 1 << 21
+
+
+def _table(base: int, size: int) -> np.ndarray:
+    steps = np.full(size, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i < n."""
+    """BASE**i and BASE**-i for i < n; more than KEPT of them are made anew each time, so that one long text does not leave
+    its tables behind."""
     global _up, _down
+    if n > KEPT:
+        return _table(BASE, n), _table(_INVERSE, n)
     if len(_up) < n:
-        size = max(n, 1 << 16)
-        steps = np.full(size, BASE, np.uint64)
-        steps[0] = 1
-        _up = np.cumprod(steps)
-        steps = np.full(size, _INVERSE, np.uint64)
-        steps[0] = 1
-        _down = np.cumprod(steps)
+        size = min(KEPT, max(2 * n, 1 << 16))
+        _up, _down = _table(BASE, size), _table(_INVERSE, size)
     return _up[:n], _down[:n]
 
 
@@ -82,7 +90,18 @@ class Words:
         self.text_start = np.cumsum(sizes) - sizes
         self.first = np.append(np.searchsorted(self.start, self.text_start), len(self.start))
         self.count = np.diff(self.first)
-        self.hash = span(prefix(byte_values(self.buffer)), self.start, self.end) if len(data) else np.zeros(0, np.uint64)
+        self.hash = self._hashes(data)
+
+    def _hashes(self, data: np.ndarray) -> np.ndarray:
+        """A word's hash does not depend on its place, so stretches of words are hashed one after the other."""
+        out, i = np.empty(len(self.start), np.uint64), 0
+        while i < len(out):
+            first = int(self.start[i])
+            j = max(i + 1, int(np.searchsorted(self.end, first + AT_ONCE, "right")))
+            sums = prefix(data[first : int(self.end[j - 1])].astype(np.uint64) + np.uint64(1))
+            out[i:j] = span(sums, self.start[i:j] - first, self.end[i:j] - first)
+            i = j
+        return out
 
     def owner(self) -> np.ndarray:
         """The text of each word."""

@@ -10,12 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracklore.llm._work import aside
+
 NULL_ID = -(2**63)
 
 
-def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """docs with _id, _tie (which together name a document) and _text (never null)."""
-    return docs.withColumns({"_id": F.coalesce(F.col(key).cast("long"), F.lit(NULL_ID)), "_tie": F.xxhash64(F.col(text), F.col(key).isNull()), "_text": F.coalesce(F.col(text), F.lit(""))})
+def keyed(docs: DataFrame, key: str, text: str, kept: list[str]) -> DataFrame:
+    """The columns `kept` in one, _id and _tie (which together name a document) and _text (never null)."""
+    body, name = F.col(text), F.col(key)
+    return docs.select(aside(kept), F.coalesce(name.cast("long"), F.lit(NULL_ID)).alias("_id"), F.xxhash64(body, name.isNull()).alias("_tie"), F.coalesce(body, F.lit("")).alias("_text"))
 
 
 #: Marks of many documents in one row for each bucket of documents, so that rows grow with tasks, not with documents.

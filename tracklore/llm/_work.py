@@ -92,15 +92,27 @@ def trimmed() -> None:
         pass
 
 
+def named(names: list[str]) -> list[Column]:
+    """Columns by name, whatever characters it has."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in names]
+
+
 def aside(names: list[str]) -> Column:
     """The caller's columns in one, out of the way of an operator's own names."""
-    return (F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in names)) if names else F.lit(True)).alias("_kept")
+    return (F.struct(*named(names)) if names else F.lit(True)).alias("_kept")
 
 
 def restored(names: list[str]) -> list[Column]:
     return [F.col("_kept").getField(c).alias(c) for c in names]
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of all columns, nulls counted; of kinds that can't be hashed, such as maps, of their JSON."""
+    unhashed = lambda f: any(x in f.dataType.simpleString() for x in ("map<", "variant"))
+    values = [F.to_json(F.struct(c)) if unhashed(f) else c for f, c in zip(df.schema, named(df.columns))]
+    return F.xxhash64(*(x for v in values for x in (v, v.isNull())))
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]

@@ -24,10 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import byte_values, prefix, span
-from tracklore.llm._work import bounded, groups_of, held, texts_of
+from tracklore.llm._work import aside, bounded, groups_of, held, restored, texts_of
 
 #: Bytes of text, or ids, that are worked on at once.
 BUFFER = 1_000_000
@@ -376,17 +377,17 @@ def codec(path: str, pattern: str) -> Codec:
 def _mapped(docs: DataFrame, results: list[str], source: str, gone: tuple[str, ...], each) -> DataFrame:
     """docs without the columns `gone`, with binary columns `results` that each(values of `source`) makes."""
     kept = [c for c in docs.columns if c not in results and c not in gone]
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(r, T.BinaryType()) for r in results)])
+    own = docs.select(aside(kept), F.col(source).cast("binary").alias("_source"))
+    schema = T.StructType([own.schema["_kept"], *(T.StructField(r, T.BinaryType()) for r in results)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, rest = texts_of(batch.column(len(kept))), batch.slice(0)
+            values = texts_of(batch.column(1))
             for start, stop in groups_of(values, BUFFER):
                 made = each(values[start:stop])
-                part = rest.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(kept))), *(pa.array(x, pa.binary()) for x in made)], schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(start, stop - start), *(pa.array(x, pa.binary()) for x in made)], schema.names)
 
-    return bounded(docs.select(*kept, docs[source].cast("binary").alias("_source")), run, schema)
+    return bounded(own, run, schema).select(*restored(kept), *results)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:

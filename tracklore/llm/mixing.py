@@ -7,9 +7,9 @@ time is the words of its source queued up to its end, divided by its source's ta
 targets at time one. Copies are taken in the order of finish times until the sum of all targets is used up, and the copy
 on that line is cut.
 
-Running sums never gather a source or the whole queue: a source's queue is cut into ranges of digests, the time line
-into ranges of time, each range adds up within itself, and the sums of ranges, few rows, are added up before them. On the
-time line only the range on the line is looked into, and there again only one part.
+Running sums never gather a source or the whole queue: both the queues and the time line are globally range-sorted into as
+many ranges as the session has partitions for, each range adds up within itself, and the sums of ranges, few rows, are
+added up before them. On the time line only the range that holds the budget's end is looked into.
 
 Null text has size zero; documents of size zero are taken zero times. Rows that repeat a doc_id are documents of their own,
 in a queue at neighbouring places. A null doc_id has a digest like any other. With no words at all every target is zero. An
@@ -17,16 +17,12 @@ empty table gives an empty table. Other columns pass unchanged; those named like
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from tracklore.llm._work import Work
+from tracklore.llm._work import Work, aside, restored, row_hash
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hex digits of the digest that name a range of a source's queue.
-DIGITS = 3
-#: Ranges of the time line per unit, and parts of the range on the line.
-TIMES, PARTS = 1024, 65536
 
 
 def words(text: str = "text"):
@@ -52,9 +48,15 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), repeats: int
     return leveled.withColumn("target", target).select("source", "place", "source_size", "target")
 
 
-def _queued(sized: DataFrame, by_source: DataFrame) -> DataFrame:
+def _ranged(work: Work, rows: DataFrame, name: str, *order: str) -> DataFrame:
+    """rows, globally range-sorted: `range` is the number of the range of the order that a row lies in."""
+    return work.cut(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), name)
+
+
+def _queued(work: Work, sized: DataFrame, by_source: DataFrame) -> DataFrame:
     """sized with place, source_size, target and `ahead`, the words of its source queued before it."""
-    ranged = sized.withColumn("range", F.substring("digest", 1, DIGITS)).join(by_source, F.equal_null(sized.source, by_source.source)).drop(by_source.source)
+    placed = sized.join(by_source, F.equal_null(sized.source, by_source.source)).drop(by_source.source)
+    ranged = _ranged(work, placed, "ranged", "place", "digest", "row")
     sums = ranged.groupBy("place", "range").agg(F.sum("size").alias("inside"))
     so_far = Window.partitionBy("place").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("before", F.coalesce(F.sum("inside").over(so_far), F.lit(0))).drop("inside")
@@ -63,55 +65,69 @@ def _queued(sized: DataFrame, by_source: DataFrame) -> DataFrame:
     return summed.join(sums, ["place", "range"]).withColumn("ahead", F.col("before") + F.col("within")).drop("range", "before", "within")
 
 
-def _reached(ranges: DataFrame, budget: int) -> tuple[int, int] | None:
-    """Of (range, inside), the first range at which the running sum reaches the budget, and the sum before it."""
-    line = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    row = ranges.withColumn("before", F.coalesce(F.sum("inside").over(line), F.lit(0))).filter(F.col("before") + F.col("inside") >= budget).orderBy("range").first()
-    return (row["range"], row["before"]) if row else None
+def _finish(round_, size="size"):
+    """Virtual finish time of a copy: what its source has queued up to its end, by the source's target."""
+    return (round_ * F.col("source_size") + F.col("ahead") + F.col(size)) / F.col("target")
+
+
+#: The order in which copies are taken; no two copies are alike in all of it.
+LINE = ("finish", "place", "round", "digest", "row", "ahead")
+
+
+def _last(work: Work, copies: DataFrame, budget: int) -> Row | None:
+    """The copy on the line, with `cut`, the words of it that are taken; None if the budget takes all."""
+    line = _ranged(work, copies, "line", *LINE)
+    sums = line.groupBy("range").agg(F.sum("size").alias("inside"))
+    so_far = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    reached = sums.withColumn("before", F.coalesce(F.sum("inside").over(so_far), F.lit(0))).filter(F.col("before") + F.col("inside") >= budget).orderBy("range").first()
+    if reached is None:
+        return None
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("range").orderBy(*LINE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = line.filter(F.col("range") == reached["range"]).withColumn("cut", F.least(F.col("size"), budget - reached["before"] - before))
+    last = inside.filter("cut > 0").orderBy(*(F.desc(c) for c in LINE)).first()
+    work.drop("line")
+    return last
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """docs, without the text, with size, source_size, target and taken (words, copies counted)."""
-    spark = docs.sparkSession
-    work = Work(spark, "mixing")
+    work = Work(docs.sparkSession, "mixing")
     results = ("size", "source_size", "target", "taken")
     kept = [c for c in docs.columns if c not in (*results, text)]
     digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null")))
-    # A row's other columns, by hash, tell apart rows that repeat a doc_id; rows alike in all are alike in result.
-    sized = work.cut(docs.select(*(F.col(c).alias(f"_{c}") for c in kept), F.col(source).alias("source"), words(text).alias("size"), digest.alias("digest"), F.xxhash64(*docs.columns).alias("row")), "sized")
+    # A row's hash tells apart rows that repeat a doc_id; rows alike in all are alike in result.
+    sized = docs.select(aside(kept), F.col(source).alias("source"), words(text).alias("size"), digest.alias("digest"), row_hash(docs).alias("row"))
+    sized = work.cut(sized, "sized")
     by_source = work.cut(targets(sized, weights, repeats), "targets")
-    queued = work.cut(_queued(sized, by_source), "queued")
+    queued = work.cut(_queued(work, sized, by_source), "queued")
     work.drop("sized")
+    work.drop("ranged")
     budget = by_source.agg(F.sum("source_size")).first()[0] or 0
-    finish = (F.col("round") * F.col("source_size") + F.col("ahead") + F.col("size")) / F.col("target")
-    copies = queued.filter("size > 0").select("place", "size", "source_size", "target", "ahead", "digest", "row", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("round")).withColumn("finish", finish)
-    copies = copies.withColumn("range", F.least(F.floor(F.col("finish") * TIMES), F.lit(4 * TIMES)).cast("long"))
-    at = _reached(copies.groupBy("range").agg(F.sum("size").alias("inside")), budget) if budget else None
-    if at is None:
-        taken = queued.withColumn("taken", F.lit(0).cast("long"))
-    else:
-        on_line = copies.filter(F.col("range") == at[0]).withColumn("range", F.floor((F.col("finish") * TIMES - at[0]) * PARTS).cast("long"))
-        part = _reached(on_line.groupBy("range").agg(F.sum("size").alias("inside")), budget - at[1])
-        left = budget - at[1] - part[1]
-        line = Window.partitionBy("range").orderBy("finish", "place", "round", "digest", "row").rowsBetween(Window.unboundedPreceding, -1)
-        last = on_line.filter(F.col("range") == part[0]).withColumn("cut", F.greatest(F.lit(0), F.least(F.col("size"), left - F.coalesce(F.sum("size").over(line), F.lit(0)))))
-        # Whole copies are those before the range, or before the part; the part's own are added from the table of the line.
-        early, position = F.lit(0).cast("long"), None
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("round")
+    copies = queued.filter("size > 0").select("place", "size", "source_size", "target", "ahead", "digest", "row", rounds).withColumn("finish", _finish(F.col("round")))
+    last = _last(work, copies.select(*LINE, "size"), budget) if budget else None
+    # Copies before the one on the line are taken whole, that one is cut, and those after it are not taken.
+    taken = F.lit(0).cast("long")
+    if budget:
         for k in range(repeats):
-            position = (F.lit(k) * F.col("source_size") + F.col("ahead") + F.col("size")) / F.col("target")
-            spot = F.floor((position * TIMES - at[0]) * PARTS)
-            early += F.when((F.floor(position * TIMES) < at[0]) | ((F.floor(position * TIMES) == at[0]) & (spot < part[0])), F.col("size")).otherwise(0)
-        extra = last.groupBy("digest", "row", "place", "ahead").agg(F.sum("cut").alias("cut"))
-        taken = queued.join(extra, ["digest", "row", "place", "ahead"], "left").withColumn("taken", F.when(F.col("size") > 0, early + F.coalesce("cut", F.lit(0))).otherwise(0).cast("long"))
-    return taken.select(*(F.col(f"_{c}").alias(c) for c in kept), *results)
+            if last is None:
+                taken += F.col("size")
+                continue
+            own = F.struct(_finish(F.lit(k)).alias("finish"), "place", F.lit(k).alias("round"), "digest", "row", "ahead")
+            line = F.struct(*(F.lit(last[c]).cast(copies.schema[c].dataType).alias(c) for c in LINE))
+            taken += F.when(own < line, F.col("size")).when(own == line, F.lit(last["cut"])).otherwise(0)
+        taken = F.when(F.col("size") > 0, taken).otherwise(0).cast("long")
+    return queued.select(*restored(kept), "size", "source_size", "target", taken.alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), repeats: int = 3) -> DataFrame:
     """The mixture itself: each row of docs as often as it is taken whole, and the copy on the line cut after its words."""
-    marked = mix(docs.withColumn("_text", F.col("text")), weights, repeats)
+    others = [c for c in docs.columns if c not in ("text", "n_chars")]
+    marked = mix(docs.select(aside(others), "doc_id", "source", "text", F.col("text").alias("_text")), weights, repeats)
     copies = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
     rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0).cast("int")
     start = F.array_join(F.slice(F.regexp_extract_all("_text", F.lit(f"({WORD})")), F.lit(1), rest), " ")
     texts = F.concat(F.array_repeat(F.col("_text"), copies), F.when(rest > 0, F.array(start)).otherwise(F.array().cast("array<string>")))
-    rows = marked.select(*(c for c in docs.columns if c != "text"), F.explode(texts).alias("text"))
-    return rows.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rows = marked.select("_kept", F.explode(texts).alias("_mixed"))
+    own = {"text": F.col("_mixed"), "n_chars": F.length("_mixed").cast("long")}
+    return rows.select(*(own[c].alias(c) if c in own else F.col("_kept").getField(c).alias(c) for c in docs.columns))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import IS_SPACE, Words, windows
-from tracklore.llm._work import bounded, groups_of, held, texts_of
+from tracklore.llm._work import aside, bounded, groups_of, held, restored, texts_of
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -189,18 +189,20 @@ def measure(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """docs with the columns of RESULTS."""
     names = RESULTS.fieldNames()
     kept = [c for c in docs.columns if c not in names]
+    own = docs.select(aside(kept)) if text in kept else docs.select(aside(kept), F.col(text).alias("_text"))
+    schema = T.StructType([own.schema["_kept"], *RESULTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fertility = held(("fertility", vocabulary), lambda: Fertility(vocabulary))
         for batch in batches:
-            texts = texts_of(batch.column(text))
+            rows = batch.column(0)
+            texts = texts_of(rows.field(kept.index(text)) if text in kept else batch.column(1))
             for start, stop in groups_of(texts, 1_000_000):
                 found = _measures(texts[start:stop], fertility)
-                part = batch.slice(start, stop - start)
                 types = [pa.int64()] * 7 + [pa.float64(), pa.string()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *map(pa.array, found, types)], [*kept, *names])
+                yield pa.RecordBatch.from_arrays([rows.slice(start, stop - start), *map(pa.array, found, types)], schema.names)
 
-    return bounded(docs, run, T.StructType([*(docs.schema[c] for c in kept), *RESULTS]))
+    return bounded(own, run, schema).select(*restored(kept), *names)
 
 
 def _above_floor(lang: str):

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from tracklore.llm._hash import Words, windows
 from tracklore.llm._marks import PACKED_MARKS, covered, keyed, marks_of, packed_marks, with_marks
-from tracklore.llm._work import Work, bounded_batches, groups_of, text_bytes, texts_of
+from tracklore.llm._work import Work, bounded_batches, groups_of, restored, text_bytes, texts_of
 
 FRAGMENT = 12_000_000
 BUFFER = 2_000_000
@@ -207,8 +207,8 @@ def repeats(docs: DataFrame, window: int, block: int, fragments: int) -> DataFra
     return docs.select("_id", "_tie", "_text", "_marks").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, True, fragments), PACKED_MARKS)
 
 
-def _removed(docs: DataFrame, window: int, kept: list[str]) -> DataFrame:
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(x, T.LongType()) for x in ("n_words", "n_removed")), T.StructField("kept_text", T.StringType())])
+def _removed(docs: DataFrame, window: int) -> DataFrame:
+    schema = T.StructType([docs.schema["_kept"], *(T.StructField(x, T.LongType()) for x in ("n_words", "n_removed")), T.StructField("kept_text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,7 +220,7 @@ def _removed(docs: DataFrame, window: int, kept: list[str]) -> DataFrame:
                 counts.append(len(words))
                 gone.append(int(cover.sum()) if cover is not None else 0)
                 out.append(b" ".join(words if cover is None else [words[i] for i in np.flatnonzero(~cover)]))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.binary()).cast(pa.string())], schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("_kept"), pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.binary()).cast(pa.string())], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -250,7 +250,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text:
     _, size = text_bytes(docs, text)
     fragments = max(1, -(-size // FRAGMENT))
     kept = [c for c in docs.columns if c not in (text, "n_words", "n_removed", "kept_text")]
-    own = keyed(docs, key, text)
+    own = keyed(docs, key, text, kept)
     texts = own.select("_id", "_tie", "_text")
     hits = work.cut(anchors(texts, block, fragments), "anchors")
     work.release()
@@ -259,4 +259,4 @@ def remove_repeats(docs: DataFrame, window: int = 50, key: str = "doc_id", text:
     work.drop("anchors")
     if apart and not texts.groupBy("_id", "_tie").count().filter("count > 1").isEmpty():
         starts = starts.union(work.cut(_copies(texts, window, fragments), "copies"))
-    return _removed(with_marks(own.select(*kept, "_id", "_tie", "_text"), starts), window, kept)
+    return _removed(with_marks(own, starts), window).select(*restored(kept), "n_words", "n_removed", "kept_text")

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from tracklore.llm._hash import byte_values, mix, windows
 from tracklore.llm._marks import PACKED_MARKS, keyed, marks_of, packed_marks, with_marks
-from tracklore.llm._work import Work, bounded, bounded_batches, groups_of, held, text_bytes, texts_of
+from tracklore.llm._work import Work, bounded, bounded_batches, groups_of, held, restored, text_bytes, texts_of
 from tracklore.llm.substring import _PACKED, _deal, _emit, _meet, _repeated_here
 
 FRAGMENT = 16_000_000
@@ -74,6 +74,18 @@ def _sampled(texts: list[bytes], width: int, gram: int) -> tuple[np.ndarray, np.
     return owner, at - first[owner], mix(token[at])
 
 
+#: Bytes of a long text that are looked at together, beside what strings reach over.
+STRETCH = 2_000_000
+
+
+def _stretches(texts: list[bytes], width: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """Owner, place and own size of each stretch of texts, with bytes enough before and behind that all strings around its
+    places are whole."""
+    for i, text in enumerate(texts):
+        for a in range(0, len(text), STRETCH):
+            yield i, a, min(STRETCH, len(text) - a), text[max(0, a - 2 * width) : a + STRETCH + 2 * width]
+
+
 def repeated_tokens(docs: DataFrame, width: int, gram: int, fragments: int) -> DataFrame:
     """_id, _tie, _marks: starts (uint32, by byte) of chosen suffixes of keyed docs whose token is at two places or more."""
 
@@ -81,14 +93,18 @@ def repeated_tokens(docs: DataFrame, width: int, gram: int, fragments: int) -> D
         held("suffixes", object)
         for batch in batches:
             ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            texts = texts_of(batch.column(2))
-            for a, b in groups_of(texts, BUFFER):
-                owner, place, hashes = _sampled(texts[a:b], width, gram)
+            parts = list(_stretches(texts_of(batch.column(2)), width))
+            for a, b in groups_of([x[3] for x in parts], BUFFER):
+                text, begin, size = (np.array([x[k] for x in parts[a:b]]) for k in range(3))
+                owner, place, hashes = _sampled([x[3] for x in parts[a:b]], width, gram)
+                place = place + np.maximum(0, begin - 2 * width)[owner]
+                own = (place >= begin[owner]) & (place < (begin + size)[owner])
+                owner, place, hashes = text[owner[own]], place[own], hashes[own]
                 if len(owner):
-                    known = _repeated_here(hashes, owner, place, ids[a:b], ties[a:b])
-                    yield from _emit(list(_deal(hashes, owner, place, ids[a:b], ties[a:b], fragments, known, False)))
+                    known = _repeated_here(hashes, owner, place, ids, ties)
+                    yield from _emit(list(_deal(hashes, owner, place, ids, ties, fragments, known, False)))
 
-    return docs.select("_id", "_tie", "_text").mapInArrow(run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, False, fragments), PACKED_MARKS)
+    return bounded(docs.select("_id", "_tie", "_text"), run, _PACKED).groupBy("fragment").applyInArrow(lambda t: _meet(t, 0, False, fragments), PACKED_MARKS)
 
 
 #: A suffix with its place, and up to width - gram bytes to its left and width bytes from its start; `left` tells these apart.
@@ -330,8 +346,8 @@ def _later(found: DataFrame, groups: int) -> DataFrame:
     return inside.union(ends.groupBy("fragment").applyInArrow(across, PACKED_MARKS))
 
 
-def _removed(docs: DataFrame, width: int, kept: list[str]) -> DataFrame:
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_bytes", T.BinaryType()), T.StructField("kept_text", T.StringType())])
+def _removed(docs: DataFrame, width: int) -> DataFrame:
+    schema = T.StructType([docs.schema["_kept"], *(T.StructField(x, T.LongType()) for x in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_bytes", T.BinaryType()), T.StructField("kept_text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,7 +368,7 @@ def _removed(docs: DataFrame, width: int, kept: list[str]) -> DataFrame:
             if rows:
                 types = [pa.int64()] * 3 + [pa.binary()] * 2
                 made = [pa.array(x, t) for x, t in zip(zip(*rows), types, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *made[:4], made[4].cast(pa.string())], schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column("_kept"), *made[:4], made[4].cast(pa.string())], schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -368,7 +384,7 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
     results = (text, "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_text")
     kept = [c for c in docs.columns if c not in results]
     _, size = text_bytes(docs, text)
-    own = keyed(docs, key, text)
+    own = keyed(docs, key, text, kept)
     texts = own.select("_id", "_tie", "_text")
     groups = max(1, -(-size // FRAGMENT))
     hits = work.cut(repeated_tokens(texts, width, gram, groups), "tokens")
@@ -381,4 +397,5 @@ def remove_repeats(docs: DataFrame, width: int = 100, key: str = "doc_id", text:
     work.drop("suffixes")
     starts = work.cut(_later(found, groups), "later")
     work.drop("found")
-    return _removed(with_marks(own.select(*kept, "_id", "_tie", "_text"), starts, 2), width, kept)
+    removed = _removed(with_marks(own, starts, 2), width)
+    return removed.select(*restored(kept), "n_bytes", "n_removed", "n_spans", "kept_bytes", "kept_text")

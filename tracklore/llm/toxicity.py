@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import Words, byte_values, mix, prefix, span
-from tracklore.llm._work import bounded_batches, groups_of, texts_of
+from tracklore.llm import _work
+from tracklore.llm._work import aside, bounded_batches, groups_of, held, restored, texts_of
 
 SAMPLE = 8192
 FOLDS = 5
@@ -158,45 +159,45 @@ def fit_chain(labelled: DataFrame, categories: list[str], key: str = "doc_id", t
     earlier, chain = np.zeros((n, 0)), []
     for i in range(len(categories)):
         labels = table.column(i + 1).to_numpy().astype(np.float32)
-        held = np.zeros(n)
+        out = np.zeros(n)
         for k in range(FOLDS):
             train, test = fold != k, fold == k
             new = np.cumsum(train) - 1
             inside = train[rows]
             link = _fit(new[rows[inside]], columns[inside], len(names), names, labels[train], earlier[train])
-            held[test] = _sigmoid(_margin(link, rows, names[columns], n, earlier))[test]
+            out[test] = _sigmoid(_margin(link, rows, names[columns], n, earlier))[test]
         link = _fit(rows, columns, len(names), names, labels, earlier)
-        order = np.sort(np.unique(held))
+        order = np.sort(np.unique(out))
         cuts = np.append((order[1:] + order[:-1]) / 2, 0.5)
-        sorted_held, at = np.sort(held), np.argsort(held)
+        sorted_out, at = np.sort(out), np.argsort(out)
         ones = np.append(0, np.cumsum(labels[at]))
-        below = np.searchsorted(sorted_held, cuts)
+        below = np.searchsorted(sorted_out, cuts)
         errors = ones[below] + (n - below) - (ones[-1] - ones[below])
         link.threshold = float(cuts[np.lexsort((np.abs(cuts - 0.5), errors))[0]])
         chain.append(link)
-        earlier = np.column_stack([earlier, held])
+        earlier = np.column_stack([earlier, out])
     return chain
 
 
 def score(docs: DataFrame, chain: list[Link], categories: list[str], text: str = "text") -> DataFrame:
     """docs, without the text, with p_<category> and is_<category> for each category."""
-    bounded_batches(docs.sparkSession)
     results = [*(f"p_{c}" for c in categories), *(f"is_{c}" for c in categories)]
     kept = [c for c in docs.columns if c not in (*results, text)]
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(r, T.DoubleType() if r.startswith("p_") else T.BooleanType()) for r in results)])
+    own = docs.select(aside(kept), F.col(text).alias("_text"))
+    schema = T.StructType([own.schema["_kept"], *(T.StructField(r, T.DoubleType() if r.startswith("p_") else T.BooleanType()) for r in results)])
     every = np.unique(np.concatenate([x.features for x in chain]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held("toxicity", object)
         for batch in batches:
-            texts = texts_of(batch.column(text))
+            texts = texts_of(batch.column(1))
             for a, b in groups_of(texts, 1_000_000):
                 rows, place = _present(texts[a:b], every)
                 earlier = np.zeros((b - a, 0))
                 for link in chain:
                     p = _sigmoid(_margin(link, rows, every[place], b - a, earlier))
                     earlier = np.column_stack([earlier, p])
-                part = batch.slice(a, b - a)
                 made = [*(pa.array(earlier[:, i]) for i in range(len(chain))), *(pa.array(earlier[:, i] >= x.threshold) for i, x in enumerate(chain))]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *made], schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *made], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return _work.bounded(own, run, schema).select(*restored(kept), *results)

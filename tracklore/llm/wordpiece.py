@@ -17,10 +17,11 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracklore.llm._hash import Words
-from tracklore.llm._work import bounded, groups_of, held, texts_of
+from tracklore.llm._work import aside, bounded, groups_of, held, restored, texts_of
 
 KEPT = 150_000
 START, INSIDE = 0, 1
@@ -95,12 +96,13 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs, without the text, with n_words, n_tokens (an unknown word is one) and n_unknown."""
     results = ("n_words", "n_tokens", "n_unknown")
     kept = [c for c in docs.columns if c not in (*results, text)]
-    schema = T.StructType([*(docs.schema[c] for c in kept), *(T.StructField(r, T.LongType()) for r in results)])
+    own = docs.select(aside(kept), F.col(text).alias("_text"))
+    schema = T.StructType([own.schema["_kept"], *(T.StructField(r, T.LongType()) for r in results)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, known = held(("pieces", path), lambda: (Automaton(*pieces_of(path)), {}))
         for batch in batches:
-            texts = texts_of(batch.column(text))
+            texts = texts_of(batch.column(1))
             for a, b in groups_of(texts, 1_000_000):
                 if len(known) > KEPT:
                     known.clear()
@@ -115,7 +117,6 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 each = counts[which]
                 total, unknown = (np.concatenate(([0], np.cumsum(x))) for x in (np.maximum(each, 1), each == 0))
                 made = [words.count, *(x[words.first[1:]] - x[words.first[:-1]] for x in (total, unknown))]
-                part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *(pa.array(x, pa.int64()) for x in made)], schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(x, pa.int64()) for x in made)], schema.names)
 
-    return bounded(docs, run, schema)
+    return bounded(own, run, schema).select(*restored(kept), *results)
