@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklore.llm import bpe, mixing, ngram_join, quality, suffix_array
-from tracklore.llm._work import Work
+from tracklore.llm._work import Work, row_hash
 
 #: A stage in SQL is not to be had: the rules need a tokeniser, and suffixes of whole tables are too many. See tests/llm.
 ORACLE_SQL = None
@@ -26,9 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One row of each group that links on five words and a similarity of 0.8 join: the one with the smallest id, null being
     the largest, then the smallest hash of its columns. Rows without words are in no group and all stay."""
     work = Work(spark, "near-duplicates")
-    # A hash skips nulls, so which columns are null is hashed too. Rows with one hash are alike and in one group.
-    row = F.xxhash64(*(x for c in docs.columns for x in (F.col(c), F.col(c).isNull())))
-    keyed = docs.withColumn("_row", row)
+    # Rows with one hash are alike and in one group.
+    keyed = docs.withColumn("_row", row_hash(docs))
     marked = ngram_join.ngram_jaccard_join(keyed.select("_row", "doc_id", "text"), n=5, percent=80, key="_row")
     alike = marked.filter("n_shingles > 0").groupBy("component_id", "doc_id", "_row").agg(F.count(F.lit(1)).alias("copies"))
     first = alike.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row", "copies")).alias("x"))

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -116,6 +117,55 @@ def test_quality_counts_and_verdict(spark):
     assert quality.measure(docs.limit(0), path).count() == 0
 
 
+def verdict(model, text, lang):
+    """Whether the rules keep a text: its counts, then characters per token, byte share and entropy against the bands, and the
+    sum of the first and the last against the floor of the language. In plain Python."""
+    n_words, chars, _, _, repeated = _brute_quality(text)
+    if n_words < 20 or 100 * repeated > 30 * n_words:
+        return False
+    ids = [i for w in model.encode(re.findall(r"[^\x20\x09-\x0D]+", text)) for i in w]
+    n, raw = len(ids), sum(map(model.is_byte, ids))
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(ids).values())
+    letters = Counter()
+    for c in text:
+        if c.isascii() and c.isalpha() or 0xC0 <= ord(c) < 0x280:
+            letters["Latin"] += 1
+        elif 0x340 <= ord(c) < 0x400:
+            letters["Greek"] += 1
+        elif 0x400 <= ord(c) < 0x500:
+            letters["Cyrillic"] += 1
+        elif 0x3000 <= ord(c) < 0xE000:
+            letters["Han"] += 1
+        elif not c.isascii():
+            letters["Other"] += 1
+    script = max(quality.SCRIPTS, key=lambda s: letters[s])
+    band = quality.BANDS.get(lang) or quality.BANDS[script]
+    if not band.chars_low * n <= chars <= band.chars_high * n or raw > band.bytes_high * n:
+        return False
+    if n >= 64 and not band.entropy_low <= entropy <= band.entropy_high:
+        return False
+    if lang not in quality.CURVES:
+        return True
+    a, b, c = quality.CURVES[lang]
+    size = min(math.log2(n), 12.5)
+    return entropy + chars / n - (a * size * size + b * size + c) >= -3.39 * math.sqrt(0.05**2 + 1.7**2 / n)
+
+
+def test_quality_verdict_both_ways(spark):
+    import pyarrow.parquet as pq
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()[:500]
+    junk = [(9000 + i, t, lang) for lang in ("en", "xx", None) for i, t in enumerate(["#%& " * 40, "lo lo " * 60 + "x", "Thnd*** iner*** ther*** " * 3 + " ".join(f"wo{i}*** rd{i}###" for i in range(60)), " ".join(f"слово{i}" for i in range(70)), "漢字" * 90 + " a" * 25])]
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in table] + junk
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = quality.judge(quality.measure(docs, public_tokenizers.path("piece_bpe_32k.model"))).collect()
+    assert sorted((r.doc_id, r.lang or "", r.kept) for r in got) == sorted((i, lang or "", verdict(model, t, lang)) for i, t, lang in rows)
+    past = [r.kept for r in got if not r.base_failed]
+    assert 10 < sum(past) < len(past) - 10
+
+
 def test_quality_keeps_clean_labelled_documents(spark):
     import pyarrow.parquet as pq
 

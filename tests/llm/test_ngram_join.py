@@ -10,7 +10,8 @@ from tracklore.llm import ngram_join
 from tracklore.llm.ngram_join import ngram_jaccard_join
 
 
-def _brute(rows, n, percent):
+def _brute_in_order(rows, n, percent):
+    """(id, size, root) of each row; rows of one class have one root, and rows without words are classes of their own."""
     sets = []
     for _, text in rows:
         words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
@@ -27,11 +28,14 @@ def _brute(rows, n, percent):
             common = len(sets[i] & sets[j])
             if common and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
                 parent[root(i)] = root(j)
-    least = {}
-    for i, (key, _) in enumerate(rows):
-        r = root(i)
+    return [(key, len(sets[i]), root(i)) for i, (key, _) in enumerate(rows)]
+
+
+def _brute(rows, n, percent):
+    found, least = _brute_in_order(rows, n, percent), {}
+    for key, _, r in found:
         least[r] = min((x for x in (least.get(r), key) if x is not None), default=None)
-    return sorted((repr(key), len(sets[i]), repr(least[root(i)])) for i, (key, _) in enumerate(rows))
+    return sorted((repr(key), size, repr(least[r])) for key, size, r in found)
 
 
 def _rows():

@@ -2,10 +2,16 @@
 
 import re
 
+import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 
 import corpus_pipeline
 from tests.llm.fixtures import documents
+from tests.llm.test_maps import _tiktoken, verdict
+from tests.llm.test_mixing import _taken, _targets
+from tests.llm.test_ngram_join import _brute_in_order
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,41 +28,61 @@ def stages(spark):
     return out
 
 
-def test_columns_and_decisions(stages):
-    first = stages[0].columns
-    assert all(x.columns == first for x in stages[:-1])
-    rows = [{r.doc_id: r.text for r in x.select("doc_id", "text").collect()} for x in stages[:-1]]
-    assert 0 < len(rows[1]) < len(rows[0]) and rows[1].items() <= rows[0].items()
-    assert 0 < len(rows[2]) < len(rows[1]) and rows[2].items() <= rows[1].items()
-    assert len(rows[3]) <= len(rows[2]) and any(rows[3][k] != rows[2][k] for k in rows[3])
-
-
-def test_no_two_that_stay_are_alike(stages):
-    sets = []
-    for r in stages[2].collect():
-        words = re.findall(r"[^\x20\x09-\x0D]+", r.text.lower())
-        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))})
-    for i, a in enumerate(sets):
-        for b in sets[:i]:
-            assert 100 * len(a & b) < 80 * len(a | b)
-
-
-def test_no_passage_is_left_twice(stages):
-    seen = set()
-    for r in stages[2].orderBy("doc_id").collect():
-        text = r.text.encode()
-        seen.update(text[i : i + 100] for i in range(len(text) - 99))
-    total = sum(max(0, len(r.text.encode()) - 99) for r in stages[2].collect())
-    left = sum(len(r.text.encode()) for r in stages[3].collect())
-    assert left < sum(len(r.text.encode()) for r in stages[2].collect())
-    assert len(seen) <= total
-
-
-def test_mixture_and_tokens(stages):
-    size = lambda df: sum(len(r.text.split()) for r in df.select("text").collect())
-    assert size(stages[4]) == size(stages[3])
-    last = stages[5].collect()
-    assert len(last) == stages[4].count() and all(r.round_trip and r.n_tokens * 4 == len(r.ids) for r in last)
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_rows_of_every_stage(stages):
+    """Each stage's rows, whole, from those of the stage before, in plain Python."""
+    columns = stages[0].columns
+    assert all(x.columns == columns for x in stages[:-1])
+    at = {c: i for i, c in enumerate(columns)}
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    given = _rows(stages[0])
+    kept = [r for r in given if verdict(model, r[at["text"]] or "", r[at["lang"]])]
+    assert _rows(stages[1]) == kept and len(kept) < len(given)
+
+    class_of = [c for _, _, c in _brute_in_order([(r[at["doc_id"]], r[at["text"]]) for r in kept], 5, 80)]
+    least = {}
+    for r, c in zip(kept, class_of):
+        least[c] = min(least.get(c, r), r, key=lambda x: x[at["doc_id"]])
+    assert _rows(stages[2]) == sorted(least.values(), key=repr) and len(least) < len(kept)
+
+    seen, left = set(), []
+    for r in sorted(least.values(), key=lambda x: x[at["doc_id"]]):
+        data = r[at["text"]].encode()
+        cover = np.zeros(len(data), bool)
+        for i in range(len(data) - 99):
+            if data[i : i + 100] in seen:
+                cover[i : i + 100] = True
+            seen.add(data[i : i + 100])
+        text, k = "", 0
+        for c in r[at["text"]]:
+            size = len(c.encode())
+            text += "" if cover[k : k + size].all() else c
+            k += size
+        if not cover.any() or text.strip(" "):
+            row = list(r)
+            row[at["text"]], row[at["n_chars"]] = text, len(text)
+            left.append(tuple(row))
+    assert _rows(stages[3]) == sorted(left, key=repr)
+    assert any(a[at["text"]] != b[at["text"]] for a, b in zip(sorted(left, key=repr), sorted(least.values(), key=repr)))
+
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    queue = [(r[at["doc_id"]], r[at["text"]], r[at["source"]], len(word.findall(r[at["text"]]))) for r in left]
+    sizes = {s: sum(x[3] for x in queue if x[2] == s) for s in {x[2] for x in queue}}
+    mixed = []
+    for r, (_, text, _, size), taken in zip(left, queue, _taken(queue, _targets(sizes), sizes)):
+        texts = [text] * (taken // size if size else 0) + ([" ".join(word.findall(text)[: taken % size])] if size and taken % size else [])
+        for t in texts:
+            row = list(r)
+            row[at["text"]], row[at["n_chars"]] = t, len(t)
+            mixed.append(tuple(row))
+    assert _rows(stages[4]) == sorted(mixed, key=repr)
+
+    encoder = _tiktoken()
+    want = [(r[at["doc_id"]], r[at["source"]], np.array(encoder.encode_ordinary(r[at["text"]]), "<u4").tobytes(), True) for r in mixed]
+    assert sorted((r.doc_id, r.source, bytes(r.ids), r.round_trip) for r in stages[5].collect()) == sorted(want)
 
 
 def test_odd_documents(spark):
