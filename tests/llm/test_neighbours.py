@@ -42,7 +42,7 @@ def test_whole_table(spark):
     got = _got(QUERIES["op5_nearest_neighbours"](spark, "/root/testdata/sf0.001"))
     assert got.keys() == want.keys()
     hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
-    assert hits >= 0.99 * sum(map(len, want.values()))
+    assert hits >= 0.95 * sum(map(len, want.values()))
     for q in want:
         exact = dict(want[q])
         assert all(s == exact[i] for i, s in got[q] if i in exact)
@@ -62,7 +62,37 @@ def test_unfit_vectors_ties_and_repeats(spark, monkeypatch):
     want, got = _brute(rows), _got(nearest(df))
     assert got.keys() == want.keys()
     hits = sum(len(set(got[q]) & set(want[q])) for q in want)
-    assert hits >= 0.99 * sum(map(len, want.values()))
+    assert hits >= 0.95 * sum(map(len, want.values()))
+
+
+def test_recall_over_many_blocks(spark):
+    import pyarrow.parquet as pq
+
+    t = pq.read_table("/root/testdata/sf0.1/embeddings.parquet")
+    ids, v = t["vec_id"].to_numpy(), np.array(t["embedding"].to_pylist(), np.float32).astype(float)
+    got = _got(QUERIES["op5_nearest_neighbours"](spark, "/root/testdata/sf0.1"))
+    hits = total = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        score = v @ v[i]
+        score[i] = -np.inf
+        best = set(ids[np.lexsort((ids, -score))[:20]].tolist())
+        hits, total = hits + len(best & {x for x, _ in got[ids[i]]}), total + 20
+    assert len(got) == total // 20 and hits >= 0.95 * total
+
+
+def test_estimates_from_bits():
+    from tracklore.llm import neighbours
+
+    rng = np.random.default_rng(5)
+    v, q = rng.standard_normal((300, 70)), rng.standard_normal((9, 70))
+    turn, centre = neighbours.rotation(70), v.mean(0)
+    bits, norm, agree = neighbours.encode(v, centre, turn)
+    upper = neighbours._upper(neighbours._words(bits), norm, agree, 70, q @ turn, np.sqrt((q**2).sum(1)))
+    assert (upper >= q @ (v - centre).T).mean() > 0.9
+    signs = np.unpackbits(bits, axis=1, count=70) * 2.0 - 1
+    error = neighbours.ERRORS * norm * np.sqrt((1 / agree**2 - 1) / 69)
+    plain = (q @ turn) @ signs.T * norm / (agree * np.sqrt(70)) + np.sqrt((q**2).sum(1))[:, None] * error
+    assert np.abs(upper - plain).max() < 0.15 * np.abs(plain).max()
 
 
 def test_few_rows_and_empty_tables(spark):
