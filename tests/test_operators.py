@@ -321,3 +321,40 @@ def test_markdown_blocks_counts_documents_with_fences_and_blank_lines(spark, tmp
     rows = [(1, "a\n\n```\nb\n\nc\n```\n\nd"), (2, "a\n\nb"), (3, "a. b"), (4, "```\na. b\n```")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert sorted(tuple(r) for r in registry.QUERIES["markdown_blocks"](spark, str(tmp_path)).collect()) == [(1, 3), (2, 2), (3, 2), (4, 1)]
+
+
+def test_registered_functions(spark):
+    from tracklore.functions import registered
+
+    assert len(registered.register(spark)) == 9
+    one = lambda q: spark.sql(f"SELECT {q} AS x").first().x
+    assert one("""tl_scrub_json('{"a": "SECRET=x"}')""") == '{"a": "SECRET=[REDACTED]"}'
+    assert one("tl_alike_by_words('examples', 'examples/train.py')") == 100 and one("tl_alike_in_part('ab', 'xaby')") == 100 and one("tl_alike('ab', 'cd')") == 0
+    assert one("tl_syntax_error('x = ')") is not None and one("tl_syntax_error('x = 1')") is None
+    assert spark.sql("SELECT tl_mean_of_positive(v) AS x FROM VALUES (-1.0D), (2.0D), (4.0D) AS t(v)").first().x == 3
+    assert [r.url for r in spark.sql("""SELECT * FROM tl_nav_links('<nav><a href="/a">A</a></nav>')""").collect()] == ["/a"]
+    assert [(r.level, r.title, r.text) for r in spark.sql("SELECT * FROM tl_page_sections('<h1>T</h1>x')").collect()] == [(1, "T", "x")]
+    assert [r.block for r in spark.sql("SELECT * FROM tl_markdown_blocks('a\\n\\nb')").collect()] == ["a", "b"]
+
+
+def test_dataset_report(spark):
+    splits = spark.createDataFrame([("a", f"s{i}", i) for i in range(12)], "config string, split string, pos int")
+    data = spark.createDataFrame([(i, "x" * 200) for i in range(5)], "i int, t string")
+    text = datasets.report("d", {"viewer": True, "search": False}, splits, data, ["i"])
+    assert "Valid (viewer)" in text and "(showing 10 of 12)" in text and "| i      | int    |" in text
+    assert text.count("Row ") == 3 and "- t: " + "x" * 150 + "..." in text
+
+
+def test_messages_of_parts_and_log_streams(spark, tmp_path):
+    from tracklore.functions import formats
+    from tracklore.operators import messages
+
+    parts = spark.createDataFrame([("s", 1, 0, "text", "a", None), ("s", 1, 1, "result", "out", "c"), ("s", 1, 2, "text", "b", None)], "session_id string, message int, part int, kind string, text string, call_id string")
+    assert sorted(((r.role, r.text, r.call_id) for r in messages.parts_to_messages(parts).collect()), key=repr) == [("assistant", "ab", None), ("tool", "out", "c")]
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "a.log").write_text("one\ntwo\n")
+    q = readers.job_logs(spark, str(tmp_path / "logs")).writeStream.format("memory").queryName("logs").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.line for r in spark.table("logs").collect()) == ["one", "two"]
+    shown = spark.range(1).select(formats.curl(F.lit("post"), F.lit("https://x/a"), F.lit(True)).alias("x"), formats.fallback_title(F.lit(" " + "y" * 50)).alias("t")).first()
+    assert shown.x.startswith("curl -X POST") and "Content-Type" in shown.x and shown.t == "y" * 40 + "…"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tracklore.functions.formats import ellipsis
+from tracklore.functions.formats import ellipsis, markdown_table
 
 #: What a dataset server can do, and keys of messages that a report names. Fixed values.
 ABILITIES = ("viewer", "preview", "search", "filter", "statistics")
@@ -63,3 +63,16 @@ def example_message(messages: DataFrame, key: str, pos: str, role: str, calls: C
     tier = F.when(calls, 0).when(F.col(role) == "assistant", 1).when(~F.col(role).eqNullSafe(F.lit("system")), 2)
     kept = messages.withColumn("_tier", tier).filter("_tier IS NOT NULL")
     return kept.groupBy(key).agg(F.min_by(F.struct(pos, role), F.struct("_tier", pos)).alias("x")).select(key, f"x.{pos}", f"x.{role}")
+
+
+def report(name: str, flags: dict[str, bool], splits: DataFrame, data: DataFrame, order: list[str], config: str = "config", split: str = "split", pos: str = "pos") -> str:
+    """What a driver shows of a dataset: whether it is valid, its first configurations and splits, its columns, and sample rows."""
+    able = [x for x in ABILITIES if flags.get(x)]
+    shown = structure(splits, config, split, pos).collect()
+    lines = [f"# {name}", "", f"Valid ({', '.join(able)})" if able else "May have issues", "", markdown_table(["Config", "Split"], [[r[config], r[split]] for r in shown])]
+    if shown and shown[0]["total"] > len(shown):
+        lines.append(f"(showing {len(shown)} of {shown[0]['total']})")
+    lines += ["", markdown_table(["Column", "Type"], [list(x) for x in schema_rows(data)]), ""]
+    for i, row in enumerate(samples(data, order).collect(), 1):
+        lines += [f"Row {i}:", *(f"- {c}: {row[c]}" for c in data.columns)]
+    return "\n".join(lines)

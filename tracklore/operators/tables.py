@@ -36,13 +36,31 @@ def without_prefixes(tags: Column, prefixes: tuple[str, ...], k: int) -> Column:
 
 
 def lookup_first(rows: DataFrame, catalog: DataFrame, name: str, default) -> DataFrame:
-    """The catalog's value of the raw name, else of the name without prefix and tag, else the default."""
+    """The catalog's value of the raw name, else of the name without prefix and tag, else the default. An id that the catalog
+    has twice counts once, with its least value."""
     bare = F.split(F.element_at(F.split(name, "/"), -1), ":")[0]
-    raw = catalog.select(F.col("id").alias("_raw"), F.col("value").alias("_a"))
-    cut = catalog.select(F.col("id").alias("_cut"), F.col("value").alias("_b"))
+    once = catalog.groupBy("id").agg(F.min("value").alias("value"))
+    raw, cut = once.select(F.col("id").alias("_raw"), F.col("value").alias("_a")), once.select(F.col("id").alias("_cut"), F.col("value").alias("_b"))
     return rows.join(raw, F.col(name) == F.col("_raw"), "left").join(cut, bare == F.col("_cut"), "left").withColumn("value", F.coalesce("_a", "_b", F.lit(default))).drop("_raw", "_cut", "_a", "_b")
 
 
+def usage(prompt: Column, completion: Column, cache_keys: list[Column], total: Column) -> Column:
+    """struct(prompt, completion, cache_read, total) of one call: the first cache count that is not zero, whatever the provider
+    calls it, and the total that is reported, or else the sum."""
+    count = lambda c: F.coalesce(c, F.lit(0))
+    cached = F.coalesce(*(F.nullif(c, F.lit(0)) for c in cache_keys), F.lit(0))
+    return F.struct(count(prompt).alias("prompt"), count(completion).alias("completion"), cached.alias("cache_read"), F.coalesce(F.nullif(total, F.lit(0)), count(prompt) + count(completion)).alias("total"))
+
+
+def union_with_kind(tables: dict[str, DataFrame]) -> DataFrame:
+    """Tables of one shape under each other, each row with the name of its table as `kind`."""
+    out = None
+    for kind, table in tables.items():
+        part = table.select(F.lit(kind).alias("kind"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def unpivot_bits(rows: DataFrame, key: str, flags: dict[str, Column]) -> DataFrame:
     """Names of the flags that hold, in the given order."""
     names = F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in flags.items())), lambda x: x.isNotNull())

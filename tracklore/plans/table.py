@@ -226,9 +226,9 @@ def sorted_distinct_names(spark, sf_dir):
 
 @query("endpoint_union", "SELECT 'customer' AS kind, c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal < 0 UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier WHERE s_acctbal < 0")
 def endpoint_union(spark, sf_dir):
-    a = read(spark, sf_dir, "customer").filter("c_acctbal < 0").selectExpr("'customer' AS kind", "c_custkey AS id", "c_name AS name")
-    b = read(spark, sf_dir, "supplier").filter("s_acctbal < 0").selectExpr("'supplier' AS kind", "s_suppkey AS id", "s_name AS name")
-    return a.unionByName(b)
+    a = read(spark, sf_dir, "customer").filter("c_acctbal < 0").selectExpr("c_custkey AS id", "c_name AS name")
+    b = read(spark, sf_dir, "supplier").filter("s_acctbal < 0").selectExpr("s_suppkey AS id", "s_name AS name")
+    return tables.union_with_kind({"customer": a, "supplier": b})
 
 
 @query("citation_edges", "SELECT o_custkey AS source, l_partkey AS target, count(*) AS intents, bool_or(l_discount > 0.05) AS influential FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F' GROUP BY ALL")
@@ -247,5 +247,6 @@ def feature_flags(spark, sf_dir):
 
 @query("usage_normalised", f"WITH {LOG} SELECT event_id, k * 10 AS prompt, CASE WHEN k % 2 = 0 THEN k * 3 ELSE k END AS cache_read, CASE WHEN k % 4 = 0 THEN k * 20 ELSE k * 15 END AS total FROM log WHERE kind = 'llm_call'")
 def usage_normalised(spark, sf_dir):
-    calls = events(spark, sf_dir).filter("kind = 'llm_call'").selectExpr("event_id", "k * 10 AS prompt", "k * 5 AS completion", "CASE WHEN k % 2 = 0 THEN k * 3 ELSE 0 END AS first_key", "k AS second_key", "CASE WHEN k % 4 = 0 THEN k * 20 END AS reported")
-    return calls.select("event_id", "prompt", F.coalesce(F.nullif("first_key", F.lit(0)), "second_key").alias("cache_read"), F.coalesce("reported", F.col("prompt") + F.col("completion")).alias("total"))
+    calls = events(spark, sf_dir, placed=False).filter("kind = 'llm_call'").selectExpr("event_id", "k * 10 AS prompt", "k * 5 AS completion", "CASE WHEN k % 2 = 0 THEN k * 3 ELSE 0 END AS first_key", "k AS second_key", "CASE WHEN k % 4 = 0 THEN k * 20 END AS reported")
+    found = tables.usage(F.col("prompt"), F.col("completion"), [F.col("first_key"), F.col("second_key")], F.col("reported"))
+    return calls.select("event_id", found.alias("x")).select("event_id", "x.prompt", "x.cache_read", "x.total")
