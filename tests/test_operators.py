@@ -211,6 +211,16 @@ def test_chunks_of_a_stream(spark, stream, tmp_path):
     ]
 
 
+def test_complete_hours_are_written(spark, stream, tmp_path):
+    rows = spark.createDataFrame([(i, f"2024-01-0{1 + i // 3} 0{i % 3}:10:00", 1.0) for i in range(12)], "user_id long, t string, value double").selectExpr("user_id", "cast(t AS timestamp) AS ts", "value")
+    rows.write.parquet(str(tmp_path / "in"))
+    for _ in range(2):
+        q = rollup.each_hour(rollup.hourly(stream(str(tmp_path / "in"), rows.schema)), str(tmp_path / "out"), str(tmp_path / "at"), {"availableNow": True})
+        q.awaitTermination()
+    done = spark.read.option("header", True).csv(str(tmp_path / "out"))
+    assert sorted(r.bucket for r in done.collect()) == [f"2024-01-0{d}T0{h}" for d in (1, 2) for h in range(3)][: done.count()] and done.count() >= 5
+
+
 def test_fan_out_and_hours(spark, tmp_path):
     events = spark.createDataFrame([("a", 1), ("b", 2)], "session_id string, pos int")
     to = spark.createDataFrame([("a", "x"), ("a", "y")], "session_id string, subscriber string")

@@ -11,6 +11,7 @@ ERRORS = {
     "rate_limit": ("429", "rate limit", "rate_limit", "too many requests", "too many tokens", "request limit", "throttl"),
     "transient": ("timeout", "timed out", "503", "service unavailable", "502", "bad gateway", "500", "internal server error", "overloaded", "capacity", "connection reset", "connection refused", "connection error", "eof", "broken pipe"),
 }
+EFFORT = ("invalid", "not supported", "must be one of", "not a valid", "unrecognized", "unknown", "only supported by", "is only supported")
 DELAYS = {"rate_limit": (30, 60), "transient": (5, 15, 30)}
 #: Job operations that start a run, hardware without graphics processors, and operations of each tool that change something.
 #: Fixed values.
@@ -51,6 +52,12 @@ def friendly_class(message: Column) -> Column:
     )
 
 
+def effort_problem(message: Column) -> Column:
+    """Which setting a model refuses: `thinking` altogether, or the level of `effort`; null for neither."""
+    has = lambda *words: holds_any(message, words)
+    return F.when(has("thinking") & has("not supported"), "thinking").when(has("effort", "output_config") & has(*EFFORT), "effort")
+
+
 def retry_delay(kind: Column, attempt: Column) -> Column:
     """Null once the delays are used up."""
     out = F.lit(None).cast("int")
@@ -64,10 +71,13 @@ def daily_cap(plan: Column) -> Column:
 
 
 def daily_counts(ops: DataFrame) -> DataFrame:
-    """Per user and UTC day: increments less refunds in order of time, never below zero."""
-    seen = F.array_sort(F.collect_list(F.struct("ts", "event_id", "op")))
-    step = lambda n, e: F.when(e.op == "inc", n + 1).otherwise(F.greatest(n - 1, F.lit(0)))
-    return ops.groupBy("user_id", F.to_date("ts").alias("day")).agg(F.aggregate(seen, F.lit(0), step).alias("used"))
+    """Per user and UTC day: increments less refunds in order of time, never below zero. The floor lifts the running sum by as
+    much as it has ever been below zero."""
+    day = F.to_date("ts").alias("day")
+    step = F.when(F.col("op") == "inc", 1).otherwise(-1)
+    so_far = F.sum(step).over(Window.partitionBy("user_id", "day").orderBy("ts", "event_id"))
+    running = ops.select("user_id", day, "ts", "event_id", "op").withColumn("run", so_far)
+    return running.groupBy("user_id", "day").agg((F.max_by("run", F.struct("ts", "event_id")) - F.least(F.min("run"), F.lit(0))).cast("int").alias("used"))
 
 
 def charged_sessions(starts: DataFrame, cap: int) -> DataFrame:

@@ -44,9 +44,10 @@ def first_run(log: DataFrame, signature_column: str, least: int = 3) -> DataFram
 
 
 def repeating_tail(log: DataFrame, signature_column: str, longest: int = 5) -> DataFrame:
-    """Per session, the shortest pattern of 2 to `longest` signatures that ends it twice in a row; null without one."""
+    """Per session, the shortest pattern of 2 to `longest` signatures that ends it twice in a row; null without one. Only the
+    rows that two of the longest patterns take are gathered."""
     tail = F.transform(F.array_sort(F.collect_list(F.struct("pos", F.col(signature_column).alias("s")))), lambda x: x.s)
-    gathered = log.groupBy("session_id").agg(tail.alias("t"))
+    gathered = lookback(log, 2 * longest).groupBy("session_id").agg(tail.alias("t"))
     sizes = F.expr(f"filter(sequence(2, {longest}), n -> size(t) >= 2 * n AND slice(t, -n, n) = slice(t, -2 * n, n))")
     return gathered.select("session_id", F.try_element_at(sizes, F.lit(1)).alias("pattern_length"))
 

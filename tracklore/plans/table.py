@@ -86,6 +86,12 @@ def error_class(spark, sf_dir):
     return rows.withColumn("delay", rules.retry_delay(F.col("kind"), (F.col("doc_id") % 4).cast("int")))
 
 
+@query("effort_problem", "SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'thinking' WHEN 1 THEN 'effort' WHEN 2 THEN 'effort' END AS problem FROM documents")
+def effort_problem(spark, sf_dir):
+    message = F.expr("CASE doc_id % 5 WHEN 0 THEN 'Thinking.type.enabled is not supported; see output_config.effort' WHEN 1 THEN 'effort must be one of low, high' WHEN 2 THEN 'Invalid output_config' WHEN 3 THEN 'effort was made' END")
+    return read(spark, sf_dir, "documents").select("doc_id", rules.effort_problem(message).alias("problem"))
+
+
 _WHO = """array(named_struct('name', 'acme', 'plan', CASE WHEN c_custkey % 3 = 0 THEN 'Enterprise Hub' END, 'type', cast(NULL AS string)), named_struct('name', 'beta', 'plan', '', 'type', CASE WHEN c_custkey % 5 = 0 THEN 'team' ELSE 'free' END),
   named_struct('name', '', 'plan', 'pro', 'type', cast(NULL AS string)))"""
 _WHO_SQL = """w AS (SELECT c_custkey, c_name, (c_mktsegment = 'BUILDING' OR (c_mktsegment = 'MACHINERY' AND c_custkey % 2 = 0)) AS pays,

@@ -130,7 +130,8 @@ def chunks(events: DataFrame) -> DataFrame:
     return events.groupBy("session_id").applyInPandasWithState(step, out, "number int, open boolean", "append", GroupStateTimeout.NoTimeout)
 
 
-def each_hour(stream: DataFrame, folder: str, checkpoint: str, hours: str = "1 hour"):
-    """Starts the hourly rollup: each trigger writes the complete hours it has, and what was missed while down is caught up."""
-    query = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(processingTime=hours)
+def each_hour(stream: DataFrame, folder: str, checkpoint: str, trigger: dict | None = None):
+    """Starts the hourly rollup: each trigger, an hour apart unless another is given, writes the hours that are complete, and
+    what was missed while down is caught up. Runs of one checkpoint never overlap."""
+    query = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 hour"}))
     return query.foreachBatch(lambda batch, _: write_hours(batch, folder)).start()
