@@ -175,7 +175,7 @@ def approved_pending(spark, sf_dir):
 
 @query("model_id_format", "SELECT p_partkey, p_size % 6 IN (0, 3, 5) AS ok FROM part")
 def model_id_format(spark, sf_dir):
-    name = F.expr("CASE p_size % 6 WHEN 0 THEN concat(p_brand, '/', p_type, ':fast/x') WHEN 1 THEN p_brand WHEN 2 THEN concat(p_brand, '/:x') WHEN 3 THEN concat('huggingface/', p_brand, '/b') WHEN 4 THEN '' ELSE concat('a/', p_type) END")
+    name = F.expr("CASE p_size % 6 WHEN 0 THEN concat(p_brand, '/', p_type, ':fast/x') WHEN 1 THEN p_brand WHEN 2 THEN concat(p_brand, '/:x') WHEN 3 THEN concat('legacy/', p_brand, '/b') WHEN 4 THEN '' ELSE concat('a/', p_type) END")
     return read(spark, sf_dir, "part").select("p_partkey", rules.model_id_ok(name).alias("ok"))
 
 
