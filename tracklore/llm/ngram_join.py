@@ -368,7 +368,12 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     """(node, comp) of the sets that have links."""
     need = F.expr(f"cast(({percent} * n + 99) div 100 as int)")
     own = ((F.col("n") - F.col("c")) / F.col("n")).alias("own")
-    rows = work.cut(eligible.select(F.explode(F.slice("keys", F.lit(1), F.col("c") - need + 1)).alias("key"), "set_id", "n", "c", own), "prefixes")
+    first = work.cut(eligible.select(F.explode(F.slice("keys", F.lit(1), F.col("c") - need + 1)).alias("key"), "set_id", "n", "c", own), "prefixes")
+    # Lists of one set are done. What is joined by a list's key is a table on either side, so that Spark may split a long list.
+    lead = F.min(F.struct("own", "set_id", "n", "c")).alias("lead")
+    leads = work.cut(first.groupBy("key").agg(lead, F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many"), "leads")
+    rows = work.cut(first.join(leads.select("key"), "key", "left_semi"), "lists")
+    work.drop("prefixes")
     some = eligible.select(F.explode(F.filter("keys", lambda k, i: i % 16 == 0)).alias("key"))
     cuts = some.agg(F.percentile_approx("key", [k / PARTS for k in range(1, PARTS)], 1000).alias("cuts")).first()["cuts"] or []
     none = work.spark.createDataFrame([], "node long, comp long")
@@ -376,15 +381,16 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     def placed(comps: DataFrame) -> DataFrame:
         return rows.join(comps, F.col("set_id") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "set_id")).drop("node")
 
-    def opened(at: DataFrame) -> DataFrame:
-        return at.join(at.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("key"), "key")
+    def opened(comps: DataFrame, name: str) -> DataFrame:
+        at = placed(comps)
+        keys = at.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("key")
+        return at.join(work.cut(keys, f"open-{name}"), "key")
 
     def grown(links: DataFrame, name: str) -> DataFrame:
         return components(work, links, name) if not links.isEmpty() else none
 
     # Each set meets the set with the fewest n-grams of its own among the leaders of its lists.
-    lead = F.min(F.struct("own", "set_id", "n", "c")).alias("lead")
-    met = rows.join(rows.groupBy("key").agg(lead), "key").select(F.col("set_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("lead.own").alias("own"), F.col("lead.set_id").alias("b"), F.col("lead.n").alias("bn"), F.col("lead.c").alias("bc"))
+    met = rows.join(leads, "key").select(F.col("set_id").alias("a"), F.col("n").alias("an"), F.col("c").alias("ac"), F.col("lead.own").alias("own"), F.col("lead.set_id").alias("b"), F.col("lead.n").alias("bn"), F.col("lead.c").alias("bc"))
     met = met.filter("a != b").filter(_enough("a", "b", percent)).groupBy("a", "an").agg(F.min(F.struct("own", "b", "bn", "bc")).alias("x"))
     pairs = work.cut(met.select("a", "an", "x.b", "x.bn", F.col("x.bc").alias("size")), "pairs-leaders")
     compared = work.cut(_compared(pairs.drop("size"), eligible, cuts, True).withColumn("linked", _reaches(percent)), "compared")
@@ -393,7 +399,7 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     work.release()
 
     # Sets of unsettled lists that have one leader; a leader is its own.
-    open_rows = work.cut(opened(placed(comps)), "unsettled")
+    open_rows = work.cut(opened(comps, "leaders"), "unsettled")
     leaders = pairs.select(F.col("b").alias("set_id"), F.col("size").alias("c")).distinct()
     open_sets = open_rows.select("set_id", "n", "comp").distinct()
     nothing = F.array().cast("array<long>")
@@ -409,8 +415,8 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     work.drop("unsettled")
 
     # What is left: pairs across components and leaders of which one set is outside its list's largest component.
-    at = work.cut(opened(placed(comps)).join(leader_of, "set_id", "left").withColumn("leader", F.coalesce("leader", "set_id")), "left")
-    most = at.groupBy("key", "comp").count().groupBy("key").agg(F.max(F.struct("count", "comp")).alias("x")).select("key", F.col("x.comp").alias("most"))
+    at = work.cut(opened(comps, "around").join(leader_of, "set_id", "left").withColumn("leader", F.coalesce("leader", "set_id")), "left")
+    most = work.cut(at.groupBy("key", "comp").count().groupBy("key").agg(F.max(F.struct("count", "comp")).alias("x")).select("key", F.col("x.comp").alias("most")), "most")
     few, rest = (x.select("key", *(F.col(c).alias(f"{s}{c}") for c in ("set_id", "n", "c", "comp", "leader"))) for s, x in (("a", at.join(most, "key").filter("comp != most")), ("b", at)))
     met = few.join(rest, "key").filter((F.col("acomp") != F.col("bcomp")) & (F.col("aleader") != F.col("bleader")) & _enough("a", "b", percent))
     low = F.col("aset_id") < F.col("bset_id")
@@ -436,7 +442,7 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, key: str
     eligible = work.cut(shared, "eligible")
     work.release()
     comps = work.cut(_classes(work, eligible, percent), "classes")
-    for table in ("eligible", "prefixes"):
+    for table in ("eligible", "lists", "leads"):
         work.drop(table)
     kept = [c for c in docs.columns if c not in (text, "n_shingles", "component_id")]
     own = docs.select(aside(kept), F.col(key).alias("_key"), F.col(text).alias("_text"))
