@@ -85,6 +85,20 @@ def test_near_copies_apart_from_their_leader(spark, monkeypatch, block):
     assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in out) == _brute(rows, 4, 85)
 
 
+def test_buffers_of_the_same_documents_in_another_order(spark, monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randrange(900)}" for _ in range(30)) for _ in range(3)]
+    near = texts[0].split()
+    near[3] = "other"
+    orders = [(0, 1, 2), (2, 1, 0), (1, 0, 2)]
+    packed = [list(ngram_join._pack([texts[i].encode() for i in order], 4, 2)) for order in orders]
+    assert len({rows[0][2] for rows in packed}) == 3
+    rows = [(10 * k + i, texts[j]) for k, order in enumerate(orders) for i, j in enumerate(order)] + [(99, " ".join(near))]
+    docs = documents(spark, rows[:3]).union(documents(spark, rows[3:6])).union(documents(spark, rows[6:]))
+    out = ngram_jaccard_join(docs, 4, 70).collect()
+    assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in out) == _brute(rows, 4, 70)
+
+
 def test_empty_table_and_clashing_names(spark):
     docs = documents(spark, [(2, "a b c d e f"), (1, "a b c d e f")]).withColumnRenamed("source", "component_id").withColumnRenamed("lang", "set_id")
     assert ngram_jaccard_join(docs.limit(0)).count() == 0

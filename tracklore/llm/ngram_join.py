@@ -141,7 +141,9 @@ def _pack(texts: list[bytes], n: int, fragments: int) -> Iterator[tuple]:
     many = np.diff(edge)
     grams, frag, lead = flat[edge[:-1]], _fragment(flat[edge[:-1]], fragments), owner[edge[:-1]]
     single = many == 1
-    buffer = int(mix(np.array([np.add.reduce(mix(ids[here] ^ np.uint64(0x5851F42D4C957F2D))) + np.uint64(len(flat))], np.uint64)).view(np.int64)[0])
+    # The buffer's number stands for its sets in their order: buffers of one number have the same questions and answers.
+    places = np.arange(len(ids), dtype=np.uint64) * np.uint64(0x5851F42D4C957F2D)
+    buffer = int(mix(np.array([np.add.reduce(mix(np.where(here, ids, 0) ^ mix(places))) + np.uint64(len(ids))], np.uint64)).view(np.int64)[0])
     cut = np.searchsorted(frag, np.arange(fragments + 1)) if fragments < len(frag) else np.append(_edges(frag)[:-1], len(frag))
     for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
         if a < b:
@@ -372,19 +374,23 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     # Lists of one set are done. What is joined by a list's key is a table on either side, so that Spark may split a long list.
     lead = F.min(F.struct("own", "set_id", "n", "c")).alias("lead")
     leads = work.cut(first.groupBy("key").agg(lead, F.count(F.lit(1)).alias("many")).filter("many > 1").drop("many"), "leads")
+    none = work.spark.createDataFrame([], "node long, comp long")
+    if leads.isEmpty():
+        return none
     rows = work.cut(first.join(leads.select("key"), "key", "left_semi"), "lists")
     work.drop("prefixes")
     some = eligible.select(F.explode(F.filter("keys", lambda k, i: i % 16 == 0)).alias("key"))
     cuts = some.agg(F.percentile_approx("key", [k / PARTS for k in range(1, PARTS)], 1000).alias("cuts")).first()["cuts"] or []
-    none = work.spark.createDataFrame([], "node long, comp long")
 
     def placed(comps: DataFrame) -> DataFrame:
         return rows.join(comps, F.col("set_id") == F.col("node"), "left").withColumn("comp", F.coalesce("comp", "set_id")).drop("node")
 
-    def opened(comps: DataFrame, name: str) -> DataFrame:
+    def opened(comps: DataFrame, name: str) -> DataFrame | None:
+        """Rows of lists that hold more than one component; None if all lists are settled."""
         at = placed(comps)
         keys = at.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low != high").select("key")
-        return at.join(work.cut(keys, f"open-{name}"), "key")
+        keys = work.cut(keys, f"open-{name}")
+        return None if keys.isEmpty() else at.join(keys, "key")
 
     def grown(links: DataFrame, name: str) -> DataFrame:
         return components(work, links, name) if not links.isEmpty() else none
@@ -399,7 +405,10 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     work.release()
 
     # Sets of unsettled lists that have one leader; a leader is its own.
-    open_rows = work.cut(opened(comps, "leaders"), "unsettled")
+    at = opened(comps, "leaders")
+    if at is None:
+        return comps
+    open_rows = work.cut(at, "unsettled")
     leaders = pairs.select(F.col("b").alias("set_id"), F.col("size").alias("c")).distinct()
     open_sets = open_rows.select("set_id", "n", "comp").distinct()
     nothing = F.array().cast("array<long>")
@@ -415,7 +424,10 @@ def _classes(work: Work, eligible: DataFrame, percent: int) -> DataFrame:
     work.drop("unsettled")
 
     # What is left: pairs across components and leaders of which one set is outside its list's largest component.
-    at = work.cut(opened(comps, "around").join(leader_of, "set_id", "left").withColumn("leader", F.coalesce("leader", "set_id")), "left")
+    at = opened(comps, "around")
+    if at is None:
+        return comps
+    at = work.cut(at.join(leader_of, "set_id", "left").withColumn("leader", F.coalesce("leader", "set_id")), "left")
     most = work.cut(at.groupBy("key", "comp").count().groupBy("key").agg(F.max(F.struct("count", "comp")).alias("x")).select("key", F.col("x.comp").alias("most")), "most")
     few, rest = (x.select("key", *(F.col(c).alias(f"{s}{c}") for c in ("set_id", "n", "c", "comp", "leader"))) for s, x in (("a", at.join(most, "key").filter("comp != most")), ("b", at)))
     met = few.join(rest, "key").filter((F.col("acomp") != F.col("bcomp")) & (F.col("aleader") != F.col("bleader")) & _enough("a", "b", percent))
