@@ -460,7 +460,8 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, key: str
     own = docs.select(aside(kept), F.col(key).alias("_key"), F.col(text).alias("_text"))
     nodes = work.cut(with_sets(own, n, "_text"), "nodes")
     placed = nodes.join(comps, nodes["_set"] == comps["node"], "left").withColumn("_comp", F.coalesce("comp", "_set")).drop("node", "comp", "_set")
-    least = placed.filter("_n > 0").groupBy("_comp").agg(F.min("_key").alias("_least"))
+    # A table of its own, so that the rows of a large component may be split in the join.
+    least = work.cut(placed.filter("_n > 0").groupBy("_comp").agg(F.min("_key").alias("_least")), "least")
     linked = placed.filter("_n > 0").join(least, "_comp").drop("_comp")
     empty = placed.filter("_n = 0").drop("_comp").withColumn("_least", F.col("_key"))
     return linked.select(*empty.columns).union(empty).select(*restored(kept), F.col("_n").alias("n_shingles"), F.col("_least").alias("component_id"))
