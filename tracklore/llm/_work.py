@@ -118,11 +118,11 @@ def texts_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]
 
 
-def groups_of(texts: list[bytes], most: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of at most so many bytes together; a longer text is a range of its own."""
+def groups_of(texts: list[bytes], most: int = 4_000_000, rows: int = 50_000) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of at most so many rows, and bytes together; a longer text is a range of its own."""
     start = size = 0
     for i, text in enumerate(texts):
-        if i > start and size + len(text) > most:
+        if i > start and (size + len(text) > most or i - start >= rows):
             yield start, i
             start, size = i, 0
         size += len(text) + 1

@@ -72,10 +72,10 @@ def _upper(words, norm, agree, dimensions: int, turned: np.ndarray, size: np.nda
     low = turned.min(1)
     step = np.maximum((turned.max(1) - low) / (2**LEVELS - 1), 1e-30)
     level = np.round((turned - low[:, None]) / step[:, None]).astype(np.uint8)
-    count = np.zeros((len(turned), words.shape[1]), np.uint16)
+    count = np.zeros((len(turned), words.shape[1]), np.uint32)
     for plane in range(LEVELS):
         for query, code in zip(_words(np.packbits((level >> plane) & 1, axis=1)), words):
-            count += np.bitwise_count(query[:, None] & code).astype(np.uint16) << plane
+            count += np.bitwise_count(query[:, None] & code).astype(np.uint32) << plane
     ones = sum(np.bitwise_count(w).astype(np.float32) for w in words)
     product = 2 * (low[:, None].astype(np.float32) * ones + step[:, None].astype(np.float32) * count)
     product -= (low * dimensions + step * level.sum(1))[:, None].astype(np.float32)
