@@ -30,7 +30,7 @@ from tracklore.llm._hash import Words, windows
 from tracklore.llm._marks import PACKED_MARKS, covered, keyed, marks_of, packed_marks, with_marks
 from tracklore.llm._work import Work, bounded_batches, groups_of, restored, text_bytes, texts_of
 
-FRAGMENT = 12_000_000
+FRAGMENT = 18_000_000
 BUFFER = 2_000_000
 _32 = np.uint64(32)
 _PACKED = "fragment int, kind byte, ids binary, ties binary, counts binary, places binary, hashes binary"
