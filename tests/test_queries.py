@@ -166,6 +166,19 @@ def test_query(spark, duck, name):
         assert sorted(map(shape, rows), key=repr) == sorted(brute(), key=repr)
 
 
+def test_similar_names_with_ties(spark, tmp_path):
+    """Its SQL fixes prices and names, but not which of many like rows are shown: the smallest keys, however the rows lie."""
+    parts = [(i, ("hot rod", "cold gear", "blue ring")[i % 3], 900.0 + i % 2) for i in range(300)]
+    want = sorted((p for p in parts if p[1] != "blue ring"), key=lambda p: (-p[2], p[1], p[0]))[:10]
+    for n, rows in enumerate((parts, parts[::-1], sorted(parts, key=lambda p: p[0] * 7919 % 300))):
+        spark.createDataFrame(rows, "p_partkey long, p_name string, p_retailprice double").repartition(5).write.parquet(f"{tmp_path}/{n}/part.parquet")
+        assert [tuple(r) for r in registry.QUERIES["similar_names"](spark, f"{tmp_path}/{n}").collect()] == [p[:2] for p in want]
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/{n}/part.parquet/*.parquet'")
+        price = {p[0]: p[2] for p in parts}
+        assert [(price[k], name) for k, name in con.sql(registry.ORACLES["similar_names"]).fetchall()] == [(p[2], p[1]) for p in want]
+
+
 def test_entry(spark):
     import __spark_entry__
 

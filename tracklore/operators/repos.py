@@ -97,13 +97,13 @@ def example_files(files: DataFrame, key: str, path: str, k: int, keyword: str |
     return ranked.orderBy("_p.outside", "_p.pattern", "_p.depth", path).limit(k).select(key, path, F.col("_example").alias("score"))
 
 
-def similar_names(repos: DataFrame, wanted: str, name: str, stars: str, k: int = 10) -> DataFrame:
-    """Repositories whose name holds one of the wanted words, most stars first."""
+def similar_names(repos: DataFrame, key: str, wanted: str, name: str, stars: str, k: int = 10) -> DataFrame:
+    """Repositories whose name holds one of the wanted words, most stars first, ties by name and then to the smaller key."""
     words = [w for w in re.split(r"[\W_]+", wanted.lower()) if w]
     hit = F.lit(False)
     for w in words:
         hit |= F.contains(F.lower(F.col(name)), F.lit(w))
-    return repos.filter(hit).orderBy(F.desc(stars), name).limit(k)
+    return repos.filter(hit).orderBy(F.desc(stars), name, key).limit(k)
 
 
 def discussions(rows: DataFrame, wanted: Column, k: int = 20) -> DataFrame:

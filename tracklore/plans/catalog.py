@@ -190,7 +190,7 @@ def example_files_by_keyword(spark, sf_dir):
 
 @query("similar_names", "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'gear') OR contains(lower(p_name), 'hot') ORDER BY p_retailprice DESC, p_name LIMIT 10")
 def similar_names(spark, sf_dir):
-    return repos.similar_names(read(spark, sf_dir, "part"), "Hot-Gear", "p_name", "p_retailprice").select("p_partkey", "p_name")
+    return repos.similar_names(read(spark, sf_dir, "part"), "p_partkey", "Hot-Gear", "p_name", "p_retailprice").select("p_partkey", "p_name")
 
 
 @query(
